@@ -30,8 +30,13 @@ def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None
 
 # Models chained over the source tables.
 
+def source(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A source table as files, which is what the models read in production."""
+    return stage(fixture(spark, sf, name), name)
+
+
 def raw(spark: SparkSession, sf: str) -> DataFrame:
-    return posts.post_metrics_raw(fixture(spark, sf, "fx_post_metrics"))
+    return posts.post_metrics_raw(source(spark, sf, "fx_post_metrics"))
 
 
 def metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,11 +53,11 @@ def staged_performance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def register(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture(spark, sf, "fx_register")
+    return source(spark, sf, "fx_register")
 
 
 def paid(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture(spark, sf, "fx_paid")
+    return source(spark, sf, "fx_paid")
 
 
 def matched(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,15 +70,17 @@ def staged_content(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def targets(spark: SparkSession, sf: str) -> DataFrame:
-    return scorecard.kpi_targets(fixture(spark, sf, "fx_targets"))
+    return scorecard.kpi_targets(source(spark, sf, "fx_targets"))
 
 
 def listening(spark: SparkSession, sf: str) -> DataFrame:
-    return brand.listening(fixture(spark, sf, "fx_listening"))
+    return brand.listening(source(spark, sf, "fx_listening"))
 
 
 def sov(spark: SparkSession, sf: str) -> DataFrame:
-    return brand.share_of_voice(fixture(spark, sf, "fx_competitors"), fixture(spark, sf, "fx_sponsors"), SETTINGS)
+    return brand.share_of_voice(
+        source(spark, sf, "fx_competitors"), source(spark, sf, "fx_sponsors"), SETTINGS
+    )
 
 
 def full_scorecard(spark: SparkSession, sf: str) -> DataFrame:

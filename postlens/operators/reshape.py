@@ -41,11 +41,12 @@ def zero_fill(columns: Sequence[str]) -> list[Column]:
 
 
 def share_within(df: DataFrame, value: str, keys: Sequence[str], name: str) -> DataFrame:
-    """Add ``value`` over its sum across ``keys``.
+    """Add ``value`` over its sum across ``keys``; a NULL key has a NULL share.
 
-    Same result as a sum over the whole window partition, but the totals are
-    aggregated before the shuffle and no task has to hold a whole partition.
-    Rows with a NULL key do not take part; callers filter or fill them first.
+    For keys without NULLs this equals a sum over the whole window partition, but
+    the totals are aggregated before the shuffle and no task holds a whole
+    partition. Being unique by key and joined from the left, the totals drop out
+    of the plan of a reader that does not use the share.
     """
     totals = df.groupBy(*keys).agg(F.sum(value).alias("__total"))
-    return df.join(totals, list(keys)).withColumn(name, safe_divide(value, "__total")).drop("__total")
+    return df.join(totals, list(keys), "left").withColumn(name, safe_divide(value, "__total")).drop("__total")
