@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.fixtures import SETTINGS, fixture
+from checks.oracle import market as sql_market
 from checks.oracle import statement
+from postlens.functions import engagement_rate, market_of, region_of, share_rate, view_through_rate
 from postlens.plans import brand, content, posts, scorecard
 from postlens.sources import stage
 
@@ -31,8 +33,14 @@ def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None
 # Models chained over the source tables.
 
 def source(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A source table as files, which is what the models read in production."""
-    return stage(fixture(spark, sf, name), name)
+    """A source table as files, for those that several models read.
+
+    Landed records come as many files; the provided table is a single one.
+    """
+    df = fixture(spark, sf, name)
+    if name == "fx_post_metrics":
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    return stage(df, name)
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,17 +78,15 @@ def staged_content(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def targets(spark: SparkSession, sf: str) -> DataFrame:
-    return scorecard.kpi_targets(source(spark, sf, "fx_targets"))
+    return scorecard.kpi_targets(fixture(spark, sf, "fx_targets"))
 
 
 def listening(spark: SparkSession, sf: str) -> DataFrame:
-    return brand.listening(source(spark, sf, "fx_listening"))
+    return brand.listening(fixture(spark, sf, "fx_listening"))
 
 
 def sov(spark: SparkSession, sf: str) -> DataFrame:
-    return brand.share_of_voice(
-        source(spark, sf, "fx_competitors"), source(spark, sf, "fx_sponsors"), SETTINGS
-    )
+    return brand.share_of_voice(fixture(spark, sf, "fx_competitors"), fixture(spark, sf, "fx_sponsors"), SETTINGS)
 
 
 def full_scorecard(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,3 +141,99 @@ def timeseries(spark: SparkSession, sf: str) -> DataFrame:
 @query("m12_sentiment", "SELECT * FROM m12")
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
     return brand.sentiment(listening(spark, sf))
+
+
+FIRST, LAST = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
+
+
+@query("m15_scorecard_rollup", (
+    "SELECT metric_id, section, metric_label, display_order, format_type, "
+    "CASE WHEN bool_or(is_ratio = 1) THEN sum(num) / nullif(sum(den), 0) ELSE sum(num) END AS actual, "
+    "max(target_value) AS target_value, max(trend_pct) AS trend_pct FROM m14 "
+    "WHERE market = 'total' AND pauta = 'total' GROUP BY ALL"
+))
+def rollup(spark: SparkSession, sf: str) -> DataFrame:
+    return scorecard.scorecard_rollup(full_scorecard(spark, sf))
+
+
+@query("m15_scorecard_rollup_market", (
+    "SELECT metric_id, section, metric_label, display_order, format_type, "
+    "CASE WHEN bool_or(is_ratio = 1) THEN sum(num) / nullif(sum(den), 0) ELSE sum(num) END AS actual, "
+    "max(target_value) AS target_value, max(trend_pct) AS trend_pct FROM m14 "
+    "WHERE market = 'mexico' AND pauta = 'organic' AND network = 'Instagram' "
+    "AND published_date BETWEEN DATE '2023-10-10' AND DATE '2023-12-20' GROUP BY ALL"
+))
+def rollup_market(spark: SparkSession, sf: str) -> DataFrame:
+    return scorecard.scorecard_rollup(
+        full_scorecard(spark, sf), dt.date(2023, 10, 10), dt.date(2023, 12, 20), "Instagram", "mexico", "organic"
+    )
+
+
+@query("m16_sentiment_range", (
+    "SELECT s.*, men_pos::DOUBLE / nullif(sentiment_total, 0) AS pct_pos, men_neu::DOUBLE / nullif(sentiment_total, 0) AS pct_neu, "
+    "men_neg::DOUBLE / nullif(sentiment_total, 0) AS pct_neg FROM (SELECT sum(men_pos)::BIGINT AS men_pos, "
+    "sum(men_neu)::BIGINT AS men_neu, sum(men_neg)::BIGINT AS men_neg, sum(sentiment_total)::BIGINT AS sentiment_total "
+    "FROM m11 WHERE fecha BETWEEN DATE '2024-01-05' AND DATE '2024-01-20') s"
+))
+def sentiment_range(spark: SparkSession, sf: str) -> DataFrame:
+    return brand.sentiment_range(listening(spark, sf), FIRST, LAST)
+
+
+@query("m17_sov_range", (
+    "SELECT scope, brand_key, brand_label, mentions, mentions::DOUBLE / nullif(sum(mentions) OVER (PARTITION BY scope), 0)::DOUBLE "
+    "AS share_pct FROM (SELECT scope, brand_key, brand_label, sum(mentions)::BIGINT AS mentions FROM m13 "
+    "WHERE fecha BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY ALL)"
+))
+def sov_range(spark: SparkSession, sf: str) -> DataFrame:
+    return brand.sov_range(sov(spark, sf), FIRST, LAST)
+
+
+def _kpi_sql() -> str:
+    def case(options: dict[str, str]) -> str:
+        arms = " ".join(f"WHEN platform IN ({names}) THEN {expr}" for names, expr in options.items())
+        return f"CASE {arms} END"
+
+    def ratio(top: str, base: str) -> str:
+        return f"({top})::DOUBLE / nullif({base}, 0)"
+
+    rate = case({
+        "'facebook'": ratio("reactions + comments + shares + link_clicks", "post_reach"),
+        "'instagram'": ratio("likes + comments + saves", "reach"),
+        "'x', 'twitter'": ratio("likes + retweets + replies + link_clicks", "post_impressions"),
+        "'tiktok'": ratio("likes + comments + shares", "reach"),
+        "'youtube', 'linkedin'": ratio("likes + comments + shares", "post_impressions"),
+    })
+    base = "if(platform IN ('facebook', 'instagram', 'tiktok'), post_reach, post_impressions)"
+    return (
+        f"SELECT event_id, platform, {rate} AS engagement_rate, {ratio('shares', base)} AS share_rate, "
+        f"{ratio('video_views_50pct', base)} AS view_through_rate FROM fx_platform_posts"
+    )
+
+
+@query("m18_platform_kpis", _kpi_sql())
+def platform_kpis(spark: SparkSession, sf: str) -> DataFrame:
+    return fixture(spark, sf, "fx_platform_posts").select(
+        "event_id", "platform",
+        engagement_rate("platform").alias("engagement_rate"),
+        share_rate("platform").alias("share_rate"),
+        view_through_rate("platform").alias("view_through_rate"),
+    )
+
+
+@query("m19_region_of", (
+    "SELECT post_id, country, CASE WHEN upper(country) IN ('US', 'CA') THEN 'namer' WHEN upper(country) IN "
+    "('MX','GT','HN','SV','NI','CR','PA','CO','VE','EC','PE','BO','CL','AR','PY','UY','BR','DO','PR','JM','TT','HT') THEN 'latam' "
+    "END AS business_region FROM fx_post_metrics"
+))
+def regions(spark: SparkSession, sf: str) -> DataFrame:
+    return fixture(spark, sf, "fx_post_metrics").select(
+        "post_id", "country", region_of("country").alias("business_region")
+    )
+
+
+@query("m20_market_of", f"SELECT post_id, country, username, {sql_market()} AS market FROM fx_post_metrics")
+def markets(spark: SparkSession, sf: str) -> DataFrame:
+    return fixture(spark, sf, "fx_post_metrics").select(
+        "post_id", "country", "username",
+        market_of("country", "username", SETTINGS.market_overrides).alias("market"),
+    )
