@@ -26,12 +26,19 @@ def _longest_run(key: Column) -> Column:
 
 
 def _with_gram(keys: DataFrame) -> DataFrame:
+    """Add the LIKE pattern of each key, its gram and the gram's length.
+
+    A backslash makes the next character literal; LIKE only takes it before a
+    wildcard or another backslash, so it is dropped elsewhere.
+    """
     run = F.length("__run")
     size = F.coalesce(*[F.when(run >= n, F.lit(n)) for n in GRAM_SIZES])
+    anywhere = F.concat(F.lit("%"), F.col("key"), F.lit("%"))
     return (
         keys.withColumn("__run", _longest_run(F.col("key")))
         .withColumn("__size", size)
         .withColumn("__gram", F.right(F.col("__run"), F.col("__size")))
+        .withColumn("__pattern", F.regexp_replace(anywhere, r"(\\[_%\\])|\\", "$1"))
         .drop("__run")
     )
 
@@ -53,7 +60,7 @@ def link_pairs(
     grams = _with_gram(keys.where(F.col("key").isNotNull()).select("key"))
     # One row comes back: a byte count and at most len(GRAM_SIZES) numbers.
     measured = grams.agg(
-        F.sum(F.octet_length("key") + F.octet_length("__gram") + 16).alias("size"),
+        F.sum(F.octet_length("key") + F.octet_length("__pattern") + F.octet_length("__gram")).alias("size"),
         F.collect_set("__size").alias("sizes"),
     ).first()
     sizes = sorted(measured["sizes"]) or [0]
@@ -73,7 +80,7 @@ def link_pairs(
     )
     # A gram that occurs twice in a link counts at its first place only.
     first_place = F.expr("__n = 0 or locate(__gram, __link) = __at")
-    matches = F.expr("__link like concat('%', key, '%')")
+    matches = F.expr("__link like __pattern")
     return (
         pieces.join(grams.drop("__size"), "__gram")
         .where(first_place & matches)
