@@ -613,7 +613,8 @@ def first_match(spark: Spark, sf: str) -> DataFrame:
 ))
 def share_of_partition(spark: Spark, sf: str) -> DataFrame:
     """Three flags share all rows; no task has to hold one flag's rows."""
-    return share_within(table(spark, sf, "lineitem"), "l_quantity", ["l_returnflag", "l_linestatus"], "share").select(
+    items, keys = table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"]
+    return share_within(items, "l_quantity", keys, "share", keep=stage).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity", "share"
     )
 

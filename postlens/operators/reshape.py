@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +40,23 @@ def zero_fill(columns: Sequence[str]) -> list[Column]:
     return [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in columns]
 
 
-def share_within(df: DataFrame, value: str, keys: Sequence[str], name: str) -> DataFrame:
+def share_within(
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    name: str,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
     """Add ``value`` over its sum across ``keys``; a NULL key has a NULL share.
 
     For keys without NULLs this equals a sum over the whole window partition, but
     the totals are aggregated before the shuffle and no task holds a whole
     partition. Being unique by key and joined from the left, the totals drop out
-    of the plan of a reader that does not use the share.
+    of the plan of a reader that does not use the share. Over large input pass
+    ``stage`` as ``keep``: with the size of the totals known, small totals are
+    broadcast and the rows are not shuffled at all.
     """
     totals = df.groupBy(*keys).agg(F.sum(value).alias("__total"))
+    if keep is not None:
+        totals = keep(totals, "totals")
     return df.join(totals, list(keys), "left").withColumn(name, safe_divide(value, "__total")).drop("__total")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,12 +50,12 @@ def _clean_targets(raw: DataFrame) -> DataFrame:
     )
 
 
-def kpi_targets(raw: DataFrame) -> DataFrame:
+def kpi_targets(raw: DataFrame, brand_targets: Sequence[tuple] = BRAND_METRICS) -> DataFrame:
     """Targets by metric, market and pauta.
 
     Countries roll up to their market (sums, or simple means for rates and
     averages); the sheet's own total rows pass as they are. Empty targets keep
-    their row.
+    their row. ``brand_targets`` are the few targets that the sheet does not hold.
     """
     spark = raw.sparkSession
     metrics = [row[0] for row in SHEET_METRICS]
@@ -73,7 +74,7 @@ def kpi_targets(raw: DataFrame) -> DataFrame:
     )
     columns = ["metric_id", "market", "pauta", "section", "metric_label", "display_order", "target_value", "format_type"]
     brand = spark.createDataFrame(
-        [(i, TOTAL, TOTAL, s, label, n, value, f) for i, s, label, n, value, f in BRAND_METRICS],
+        [(i, TOTAL, TOTAL, s, label, n, value, f) for i, s, label, n, value, f in brand_targets],
         "metric_id string, market string, pauta string, section string, metric_label string, "
         "display_order bigint, target_value double, format_type string",
     )
