@@ -16,6 +16,11 @@ _WHOLE = r"^\s*[+-]?0*\d{1,19}\s*$"
 # try_cast alone would take Java spellings such as '1.5d' or '0x1p3' for numbers.
 _DECIMAL = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
+# Full English month names only; also spares an exception per unreadable cell.
+_MONTH_DAY = (
+    r"(?i)^(January|February|March|April|May|June|July|August|September|October|November|December) \d{1,2}$"
+)
+
 _BREAK = "([\\s" + re.escape(WORD_BREAKS) + "])"
 _MARK = "\u0001 "
 
@@ -70,4 +75,5 @@ def initcap_words(c: Column | str) -> Column:
 
 def parse_month_day(c: Column | str, year: int) -> Column:
     """'June 8' in the given year as a date; anything else is NULL."""
-    return F.try_to_date(F.concat(trim_all(c), F.lit(f" {year}")), "MMMM d yyyy")
+    day = trim_all(c)
+    return F.when(day.rlike(_MONTH_DAY), F.try_to_date(F.concat(day, F.lit(f" {year}")), "MMMM d yyyy"))
