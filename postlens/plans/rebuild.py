@@ -25,6 +25,20 @@ def _replace(df: DataFrame, folder: str, name: str) -> DataFrame:
     return read_table(df.sparkSession, f"{folder}/{name}", df.schema)
 
 
+def region_views(performance: DataFrame, sources: Mapping[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
+    """The models that are views: they follow the sheets without a rebuild of the tables."""
+    register, paid = sources["register"], sources["paid"]
+    matches = content.key_matches(performance, register, paid, settings)
+    daily = brand.listening(sources["listening"])
+    return posts.network_slices(performance) | {
+        "dm_match_content": content.match_content(register, paid, performance, settings, matches),
+        "dm_match_coverage": content.match_coverage(register, performance, settings, matches),
+        "dm_listening": daily,
+        "dm_sentiment": brand.sentiment(daily),
+        "dm_sov": brand.share_of_voice(sources["competitors"], sources["sponsors"], settings),
+    }
+
+
 def rebuild(sources: Mapping[str, DataFrame], out: str, settings: Settings) -> dict[str, DataFrame]:
     """Write the tables under ``out/<region>`` and return tables and views by name.
 
@@ -42,25 +56,26 @@ def rebuild(sources: Mapping[str, DataFrame], out: str, settings: Settings) -> d
     metrics = table("post_metrics", with_load_time(posts.post_metrics(raw, settings)))
     performance = table("dm_post_performance", posts.post_performance(metrics, settings))
     table("dm_platform_summary", posts.platform_summary(metrics, settings))
-    built |= posts.network_slices(performance)
 
-    register, paid = sources["register"], sources["paid"]
-    matches = content.key_matches(performance, register, paid, settings)
-    matched = stage(content.match_content(register, paid, performance, settings, matches), "dm_match_content")
-    built["dm_match_content"] = matched
-    built["dm_match_coverage"] = content.match_coverage(register, performance, settings, matches)
+    built |= region_views(performance, sources, settings)
+    matched = built["dm_match_content"] = stage(built["dm_match_content"], "dm_match_content")
     table("dm_format_performance", content.format_performance(matched))
     table("dm_content_timeseries", content.content_timeseries(matched))
-
-    daily = brand.listening(sources["listening"])
-    voice = brand.share_of_voice(sources["competitors"], sources["sponsors"], settings)
-    built |= {"dm_listening": daily, "dm_sentiment": brand.sentiment(daily), "dm_sov": voice}
-
     targets = table("kpi_targets", scorecard.kpi_targets(sources["targets"]))
-    table("dm_executive_scorecard", scorecard.executive_scorecard(matched, targets, daily, voice, settings))
+    table("dm_executive_scorecard", scorecard.executive_scorecard(
+        matched, targets, built["dm_listening"], built["dm_sov"], settings
+    ))
     return built
 
 
+def open_region(sources: Mapping[str, DataFrame], out: str, settings: Settings) -> dict[str, DataFrame]:
+    """Tables of an earlier rebuild, with the views computed from the sources as they are now."""
+    spark = sources["register"].sparkSession
+    tables = {name: spark.read.parquet(f"{out}/{settings.region}/{name}") for name in TABLE_LAYOUTS}
+    performance = tables["dm_post_performance"].select(*posts.PERFORMANCE_COLUMNS)
+    return tables | region_views(performance, sources, settings)
+
+
 def rebuild_regions(
     sources: Mapping[str, Mapping[str, DataFrame]], out: str, settings: Mapping[str, Settings]
 ) -> dict[str, dict[str, DataFrame]]:

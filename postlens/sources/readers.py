@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from postlens.fixed_values import COUNTERS, IDENTITY, POST_FIELDS, RATES
+from postlens.settings import Settings
 
 _TEXT = T.StringType()
 
@@ -22,7 +23,8 @@ LANDED_SCHEMA = T.StructType(
     ]
 )
 
-# Columns of the six text snapshots; 'fecha' is a date in the brand tables.
+# Columns of the text snapshots. The two brand tables have a date and
+# one column per brand, which the settings name.
 SNAPSHOT_COLUMNS = {
     "register": "market fecha nombre link_ig link_tiktok autor copy_out tipo_contenido pauta_ig pauta_tiktok".split(),
     "paid": (
@@ -57,3 +59,22 @@ def read_text_snapshot(
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.load(path)
+
+
+def read_sources(
+    spark: SparkSession, base: str, settings: Settings, fmt: str = "parquet", **options: str
+) -> dict[str, DataFrame]:
+    """Every source table of a region: landed metrics and the six snapshots, one folder each.
+
+    ``fecha`` is a date in the three daily tables and text in the register.
+    """
+    columns = SNAPSHOT_COLUMNS | {
+        "competitors": ["fecha", *settings.competitor_brands],
+        "sponsors": ["fecha", *settings.sponsor_brands],
+    }
+    dated = {"listening", "competitors", "sponsors"}
+    tables = {
+        name: read_text_snapshot(spark, f"{base}/{name}", names, name in dated, fmt, **options)
+        for name, names in columns.items()
+    }
+    return {"post_metrics": read_landed_metrics(spark, f"{base}/post_metrics", settings.region), **tables}

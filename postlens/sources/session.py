@@ -27,6 +27,25 @@ def build_session(app: str = "postlens", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, per_partition: int = 512 * 2**20, least: int = 200, most: int = 100_000) -> int:
+    """Partitions that keep a shuffle of the whole input at a size a task can sort."""
+    return min(most, max(least, -(-input_bytes // per_partition)))
+
+
+def size_shuffles(df: DataFrame) -> int:
+    """Raise the session's shuffle partitions to fit ``df``, the largest input of a run.
+
+    The size is the one Spark plans with, taken from the file listing. The adaptive
+    plan merges small partitions but never adds any, so the start has to be ample;
+    a higher setting of the cluster stays.
+    """
+    spark, key = df.sparkSession, "spark.sql.shuffle.partitions"
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = shuffle_partitions(known, least=int(spark.conf.get(key)))
+    spark.conf.set(key, wanted)
+    return wanted
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only in local mode."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()

@@ -8,16 +8,19 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from checks.catalog import raw
+from checks.catalog import full_scorecard, raw
 from checks.fixtures import FIXTURES, SETTINGS, fixture
 from conftest import plan_text
-from postlens.plans.rebuild import publish_views, rebuild_regions
+from postlens.plans.rebuild import open_region, publish_views, rebuild_regions
 from postlens.sources import (
     TABLE_LAYOUTS,
     checkpoint_folder,
     read_landed_metrics,
+    read_sources,
     read_table,
     read_text_snapshot,
+    shuffle_partitions,
+    size_shuffles,
     stage,
     write_table,
 )
@@ -96,14 +99,27 @@ def test_staged_tables_lie_in_the_named_folder(spark):
 
 
 def test_rebuild_regions(spark, tmp_path):
-    sources = {n.removeprefix("fx_"): fixture(spark, SF, n) for n in FIXTURES if n != "fx_platform_posts"}
+    base = str(tmp_path / "in")
+    for name in FIXTURES:
+        if name == "fx_post_metrics":
+            landed = fixture(spark, SF, name).withColumn("_ingested_at", F.col("_ingested_at").cast("timestamp"))
+            landed.write.partitionBy("region", "dt").json(f"{base}/post_metrics")
+        elif name != "fx_platform_posts":
+            fixture(spark, SF, name).write.parquet(f"{base}/{name.removeprefix('fx_')}")
+    sources = read_sources(spark, base, SETTINGS)
     built = rebuild_regions({"latam": sources}, str(tmp_path), {"latam": SETTINGS})["latam"]
+    assert built["dm_executive_scorecard"].count() == full_scorecard(spark, SF).count() > 0
     assert set(TABLE_LAYOUTS) <= {p.name for p in (tmp_path / "latam").iterdir()}
     assert "_loaded_at" in built["post_metrics"].columns and "_loaded_at" not in built["dm_post_performance"].columns
     names = publish_views(built, "latam_")
     assert len(names) == len(TABLE_LAYOUTS) + 10
     assert spark.sql("SELECT count(*) FROM latam_dw_tiktok").first()[0] == built["dw_tiktok"].count()
 
+    later = open_region(sources, str(tmp_path), SETTINGS)
+    assert set(later) == set(built)
+    for name in ["dm_match_content", "dm_match_coverage", "dw_tiktok", "dm_sov", "dm_post_performance"]:
+        assert later[name].count() == built[name].count()
+
 
 def test_unset_folder_off_local_mode_is_refused(monkeypatch):
     class Context:
@@ -118,3 +134,15 @@ def test_unset_folder_off_local_mode_is_refused(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_folder(Session())
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(2**40) == 2048
+    assert shuffle_partitions(10**14) == 100_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert size_shuffles(spark.range(10)) == int(before)
+    try:
+        assert size_shuffles(spark.range(2**31)) == 32  # 16 GiB of longs
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
