@@ -54,7 +54,7 @@ from postlens.operators import (
     with_deltas,
     zero_fill,
 )
-from postlens.plans import brand, content, posts, scorecard
+from postlens.plans import content, posts, scorecard
 from postlens.plans.rebuild import publish_views, rebuild
 from postlens.sources import (
     TABLE_LAYOUTS,
