@@ -181,12 +181,13 @@ _TABLES = ["events", "customer", "part"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A provided table; days are UTC days."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table as a DataFrame; days are UTC days."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """A source table as a DataFrame."""
     text = FIXTURES[name]
     used = {t: table(spark, sf_dir, t) for t in _TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
