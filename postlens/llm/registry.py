@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import mixing, oracle
+from postlens.llm import mixing, oracle, packing
 from postlens.llm.common import table
 
+#: The vocabulary file that the queries use; operators take the path as a parameter.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -19,8 +23,13 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("__target").alias("target"), F.col("__taken").alias("taken"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES: dict[str, Query] = {
     "op7_source_mixing": op7_source_mixing,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
