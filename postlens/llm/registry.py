@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import mixing, oracle, packing
-from postlens.llm.common import table
+from postlens.llm import langid, mixing, oracle, packing
+from postlens.llm.common import id_remainder, table
 
 #: The vocabulary file that the queries use; operators take the path as a parameter.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,15 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder("doc_id", 4) == 2
+    model = langid.train_language_id(docs.where(~held_out))
+    return langid.identify_language(docs.select("doc_id", "text"), model, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__lang_score").alias("score"),
+        F.col("__ambiguous").alias("ambiguous"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
@@ -28,6 +37,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_language_id": op4_language_id,
     "op7_source_mixing": op7_source_mixing,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
