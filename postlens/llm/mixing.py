@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlens.llm.common import WORDS, word_count
+from postlens.llm.common import WORDS, staged, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -24,6 +24,7 @@ def _with_size(docs: DataFrame, seed: str) -> DataFrame:
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     return (docs.withColumn("__size", word_count(F.col("text")))
             .withColumn("__order", order)
+            .withColumn("__tie", F.xxhash64("text"))
             .withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS)))
 
 
@@ -71,7 +72,7 @@ def _source_plan(sized: DataFrame, weights: Sequence[int], share: float, max_epo
                 .groupBy(F.col("source").alias("__at"))
                 .agg(F.min(F.struct("__bucket", (F.col("__end") - F.col("__words")).alias("before"))).alias("__edge")))
     return (plan.join(crossing, F.col("__source").eqNullSafe(F.col("__at")), "left")
-            .select("__source", "source_size", "target", "__whole", "__rest",
+            .select("__source", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), "__whole", "__rest",
                     F.col("__edge.__bucket").alias("__edge_bucket"), F.col("__edge.before").alias("__edge_before")))
 
 
@@ -91,21 +92,21 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
     each; which of two equal rows is cut at the edge is not defined. No rows give no
     rows.
 
-    The documents are joined with one row per source and never dealt by source. Only
-    the one bucket of each source that its target cuts is sorted.
+    The documents are joined with one row per source, a staged table whose exact size
+    Spark knows. Only the one bucket of each source that its target cuts is sorted.
     """
     sized = _with_size(docs, seed)
-    plan = _source_plan(sized.select("source", "__bucket", "__size"), weights, share, max_epochs)
+    plan = staged(_source_plan(sized.select("source", "__bucket", "__size"), weights, share, max_epochs), "source_plan")
     joined = sized.join(plan, F.col("source").eqNullSafe(F.col("__source")))
     below = F.col("__edge_bucket").isNull() | (F.col("__bucket") < F.col("__edge_bucket"))
     at_edge = F.coalesce(F.col("__bucket") == F.col("__edge_bucket"), F.lit(False))
-    in_order = Window.partitionBy("__source").orderBy("__order", "doc_id", "__size", F.xxhash64("text"))
+    in_order = Window.partitionBy("__source").orderBy("__order", "doc_id", "__size", "__tie")
     whole = joined.where(~at_edge).withColumn("__extra", F.when(below, F.col("__size")).otherwise(0))
     before = F.coalesce(F.sum("__size").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("__edge_before")
     cut = joined.where(at_edge).withColumn("__extra", F.least(F.col("__size"), F.greatest(F.lit(0), F.col("__rest") - before)))
     return whole.unionByName(cut).select(
-        *[F.col(f"`{c}`") for c in docs.columns], "__size", F.col("source_size").alias("__source_size"),
-        F.col("target").alias("__target"), (F.col("__whole") * F.col("__size") + F.col("__extra")).cast("long").alias("__taken"))
+        *[F.col(f"`{c}`") for c in docs.columns], "__size", "__source_size", "__target",
+        (F.col("__whole") * F.col("__size") + F.col("__extra")).cast("long").alias("__taken"))
 
 
 @F.pandas_udf(T.StringType())
