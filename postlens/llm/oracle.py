@@ -31,3 +31,37 @@ SELECT doc_id, size, source_size, target,
                                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))))::BIGINT AS taken
 FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 """
+
+LINE_RULES = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+worded AS (
+  SELECT doc_id, line, count(*) AS times, len(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line),
+by_line AS (
+  SELECT doc_id, sum(times - 1)::BIGINT AS n_dup_lines,
+         coalesce(sum(chars) FILTER (regexp_matches(line, '[.!?…:;"”»)][\x20\x09-\x0D]*\z')
+           AND NOT regexp_matches(line, '(?:[^|›»]*[|›»]){3}')
+           AND NOT regexp_matches(line, '(?:[^!]*!!){3}') AND NOT regexp_matches(line, '[#*$%&<>=~_]{3}')
+           AND NOT regexp_matches(line, '(?i)all rights reserved|terms of (?:use|service)|privacy policy|cookie|javascript|lorem ipsum|licensed under|copyright|click here|sign up|log in|subscribe')), 0) AS stays
+  FROM worded GROUP BY doc_id),
+words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, list_slice(w, i, i + 4) AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)),
+found AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS times FROM windows) WHERE times > 1),
+repeated AS (
+  SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n FROM found, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY doc_id),
+facts AS (
+  SELECT d.doc_id, len(w.w)::BIGINT AS n_words,
+         len(regexp_replace(coalesce(d.text, ''), '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         len(regexp_replace(coalesce(d.text, ''), '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(b.n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(b.stays, 0) AS stays
+  FROM documents d JOIN words w USING (doc_id) LEFT JOIN by_line b USING (doc_id) LEFT JOIN repeated r USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * (word_chars - stays) <= 50 * word_chars AS kept
+FROM facts
+"""
