@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
 import uuid
-from collections.abc import Iterable
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from postlens.sources import checkpoint_folder
 
@@ -18,7 +19,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORDS = re.compile(WORD)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once in an application; on a cluster as well as from a checkout."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,14 +65,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-
-def some(values: Iterable) -> list:
-    """The values that are not null."""
-    return [v for v in values if v is not None]

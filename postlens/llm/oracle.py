@@ -65,3 +65,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * (word_chars - stays) <= 50 * word_chars AS kept
 FROM facts
 """
+
+NGRAM_JOIN = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  JOIN sizes s ON s.doc_id = p.a JOIN sizes t ON t.doc_id = p.b
+  WHERE 100 * p.shared >= 85 * (s.n + t.n - p.shared)),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON m.a = d.doc_id
+"""

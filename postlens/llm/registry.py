@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import langid, line_rules, mixing, oracle, packing
+from postlens.llm import langid, line_rules, mixing, ngram_join, oracle, packing
 from postlens.llm.common import id_remainder, table
 
 #: The vocabulary file that the queries use; operators take the path as a parameter.
@@ -32,6 +32,10 @@ def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
@@ -45,11 +49,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_line_rules": op5_line_rules,
+    "op6_ngram_join": op6_ngram_join,
     "op7_source_mixing": op7_source_mixing,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
     "op5_line_rules": oracle.LINE_RULES,
+    "op6_ngram_join": oracle.NGRAM_JOIN,
     "op7_source_mixing": oracle.SOURCE_MIXING,
 }
