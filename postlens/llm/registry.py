@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import langid, line_rules, mixing, ngram_join, oracle, packing
+from postlens.llm import langid, line_rules, mixing, ngram_join, oracle, packing, passages
 from postlens.llm.common import id_remainder, table
 
 #: The vocabulary file that the queries use; operators take the path as a parameter.
@@ -42,6 +42,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("__target").alias("target"), F.col("__taken").alias("taken"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op5_line_rules": op5_line_rules,
     "op6_ngram_join": op6_ngram_join,
     "op7_source_mixing": op7_source_mixing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
