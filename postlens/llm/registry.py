@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import langid, line_rules, mixing, ngram_join, oracle, packing, passages
+from postlens.llm import kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages
 from postlens.llm.common import id_remainder, table
 
 #: The vocabulary file that the queries use; operators take the path as a parameter.
@@ -17,6 +17,15 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 7) == 2
+    model = kneser_ney.train(docs.where(~held_out))
+    return kneser_ney.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.vocabulary.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = id_remainder("doc_id", 4) == 2
@@ -51,6 +60,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op4_language_id": op4_language_id,
     "op5_line_rules": op5_line_rules,
     "op6_ngram_join": op6_ngram_join,
