@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages
+from postlens.llm import chat, kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages
 from postlens.llm.common import id_remainder, table
 
 #: The vocabulary file that the queries use; operators take the path as a parameter.
@@ -55,6 +55,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op6_ngram_join": op6_ngram_join,
     "op7_source_mixing": op7_source_mixing,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
