@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages
+from postlens.llm import chat, hnsw, kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages
 from postlens.llm.common import id_remainder, table
 
 #: The vocabulary file that the queries use; operators take the path as a parameter.
@@ -26,6 +26,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score", "score")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = id_remainder("doc_id", 4) == 2
@@ -65,6 +69,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
     "op5_line_rules": op5_line_rules,
     "op6_ngram_join": op6_ngram_join,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_embedding_dedup": oracle.EMBEDDING_DEDUP,
     "op5_line_rules": oracle.LINE_RULES,
     "op6_ngram_join": oracle.NGRAM_JOIN,
     "op7_source_mixing": oracle.SOURCE_MIXING,
