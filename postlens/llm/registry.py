@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, hnsw, kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages
+from postlens.llm import chat, hnsw, kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages, toxicity
 from postlens.llm.common import id_remainder, table
 
 #: The vocabulary file that the queries use; operators take the path as a parameter.
@@ -17,6 +17,15 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 5) == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out & F.col("toxic").isNotNull())
+    model = toxicity.train_toxicity(docs.join(labels, "doc_id"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_remainder("doc_id", 7) == 2
@@ -68,6 +77,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
