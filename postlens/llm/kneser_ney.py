@@ -125,11 +125,11 @@ class Discounts:
 
     @staticmethod
     def of(n: list[int]) -> Discounts:
-        """From how many have a count of 1, 2, 3 and 4; where these don't tell, three quarters."""
+        """From how many have a count of 1, 2, 3 and 4; where these don't tell, three quarters. Never nothing."""
         out, y = [0.0], n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
         for k in (1, 2, 3):
             told = n[k - 1] and n[k] and y
-            out.append(min(float(k), max(0.0, k - (k + 1) * y * n[k] / n[k - 1])) if told else 0.75)
+            out.append(min(float(k), max(0.05, k - (k + 1) * y * n[k] / n[k - 1])) if told else 0.75)
         return Discounts(tuple(out))
 
     def off(self, counts: np.ndarray) -> np.ndarray:
@@ -158,6 +158,8 @@ class Model:
     def chances(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """P(word | the word before); -1 stands for unknown words, the size of the vocabulary for the start."""
         lower = self.word_chances(ids)
+        if not self.distinct_pairs:
+            return lower
         counts = _pair_counts(self.vocabulary, before, ids)
         total, n1, n2, n3 = _dense(self.vocabulary, "before", before).T
         seen = total > 0
