@@ -40,10 +40,10 @@ SELECT
   'https://img.example.com/' || CAST(user_id AS STRING) AS thumbnail_url,
   CAST(event_id % 50 AS STRING) AS comments,
   CASE WHEN event_id % 13 = 0 THEN CAST(NULL AS STRING) ELSE CAST(event_id * 2 + 5 AS STRING) END AS engagement,
-  CAST(event_id + 1 AS STRING) AS likes,
+  CASE WHEN tie = 1 THEN CAST(NULL AS STRING) ELSE CAST(event_id + 1 AS STRING) END AS likes,
   CASE event_id % 17 WHEN 0 THEN 'n/a' WHEN 1 THEN '' WHEN 2 THEN '0' ELSE CAST(event_id * 10 AS STRING) END AS reach,
   CAST(event_id % 40 AS STRING) AS saves,
-  CAST(event_id % 30 AS STRING) AS shares,
+  CASE WHEN tie = 2 THEN CAST(NULL AS STRING) ELSE CAST(event_id % 30 AS STRING) END AS shares,
   CAST(event_id * 15 AS STRING) AS views,
   CAST(event_id * 4 AS STRING) AS video_views,
   CAST(event_id % 9 AS STRING) AS follows,
@@ -61,7 +61,9 @@ SELECT
   CAST(event_id AS STRING) || 'e2' AS total_time_watched,
   CASE WHEN event_id % 4 = 0 THEN '0.25' WHEN event_id % 4 = 1 THEN '0.5' WHEN event_id % 4 = 2 THEN 'bad' ELSE '0.125' END AS full_video_watched_rate,
   'latam' AS region, CAST(ts AS DATE) AS dt, ts AS _ingested_at
-FROM {events}
+FROM (SELECT *, 0 AS tie FROM {events}
+      UNION ALL SELECT *, 1 AS tie FROM {events} WHERE event_id % 50 = 7
+      UNION ALL SELECT *, 2 AS tie FROM {events} WHERE event_id % 50 = 7) e
 """
 
 FX_REGISTER = """

@@ -90,8 +90,9 @@ _STEPS["m01"] = (
     + ", region, dt AS ingest_date, _ingested_at FROM fx_post_metrics"
 )
 _STEPS["m02_daily"] = (
-    "SELECT * FROM m01 r WHERE NOT EXISTS (SELECT 1 FROM m01 o WHERE o.post_id = r.post_id "
-    "AND o.ingest_date = r.ingest_date AND o._ingested_at > r._ingested_at)"
+    "SELECT * FROM m01 QUALIFY row_number() OVER (PARTITION BY post_id, ingest_date ORDER BY _ingested_at DESC NULLS LAST, "
+    + ", ".join(f"{c} NULLS FIRST" for c in [*TEXTS, *LONGS, *DOUBLES, "region"] if c != "post_id")
+    + ") = 1"
 )
 _STEPS["m02"] = (
     "SELECT post_id, profile_id, social_network_id, username, country, network, region, created_at, "

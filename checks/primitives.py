@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from checks.catalog import (
     query,
     raw,
     register,
+    source,
     sov,
     staged_content,
     staged_performance,
@@ -29,7 +31,7 @@ from checks.catalog import (
 )
 from checks.fixtures import FIXTURES, SETTINGS, fixture, table
 from checks.oracle import LONGS, dbl, div, key_ig, key_tk, num, strip
-from postlens.fixed_values import COLLABORATION, COUNTERS, DELTA_COUNTERS, RATIO_METRICS, SHEET_METRICS
+from postlens.fixed_values import COLLABORATION, COUNTERS, DELTA_COUNTERS, RATIO_METRICS
 from postlens.functions import (
     clean_number,
     extract,
@@ -55,7 +57,7 @@ from postlens.operators import (
     zero_fill,
 )
 from postlens.plans import content, posts, scorecard
-from postlens.plans.rebuild import publish_views, rebuild
+from postlens.plans.rebuild import open_region, publish_views, rebuild_regions
 from postlens.sources import (
     TABLE_LAYOUTS,
     checkpoint_folder,
@@ -147,17 +149,31 @@ _BUILT = {
 }
 
 
+# What a model's rows add up to, beside their number.
+_MEASURES = {
+    "post_metrics_raw": "sum(likes)", "post_metrics": "sum(likes_delta)", "dm_post_performance": "sum(reach)",
+    "dm_platform_summary": "sum(likes_gained)", "dm_match_content": "sum(likes)",
+    "dm_match_coverage": "sum(CASE WHEN match_status = 'matched' THEN 1 ELSE 0 END)",
+    "dm_format_performance": "sum(total_reach)", "dm_content_timeseries": "sum(posts)", "kpi_targets": "sum(display_order)",
+    "dm_listening": "count(*)", "dm_sentiment": "count(*)", "dm_sov": "count(*)", "dm_executive_scorecard": "count(num)",
+}
+
+
 @query("s06_region_rebuild", " UNION ALL ".join(
-    f"SELECT 'latam' AS region, '{name}' AS model, count(*) AS records FROM {step}" for name, step in _BUILT.items()
+    f"SELECT '{region}' AS region, '{name}' AS model, count(*) AS records, CAST({_MEASURES[name]} AS BIGINT) AS total FROM {step}"
+    for region in ("latam", "emea") for name, step in _BUILT.items()
 ))
 def region_rebuild(spark: Spark, sf: str) -> DataFrame:
-    """Every model of a region, written and counted."""
-    sources = {n.removeprefix("fx_"): fixture(spark, sf, n) for n in FIXTURES if n != "fx_platform_posts"}
-    built = rebuild(sources, _folder(spark, "rebuild"), SETTINGS)
+    """Every model of two regions, written, opened and added up."""
+    sources = {n.removeprefix("fx_"): source(spark, sf, n) for n in FIXTURES if n != "fx_platform_posts"}
+    chosen = {region: replace(SETTINGS, region=region) for region in ("latam", "emea")}
+    folder = _folder(spark, "rebuild")
+    rebuild_regions(dict.fromkeys(chosen, sources), folder, chosen)
     counts = [
-        built[n].agg(F.count("*").alias("records")).select(
-            F.lit(SETTINGS.region).alias("region"), F.lit(n).alias("model"), "records")
-        for n in _BUILT
+        open_region(sources, folder, settings)[n].agg(
+            F.count("*").alias("records"), F.expr(f"CAST({_MEASURES[n]} AS BIGINT)").alias("total")
+        ).select(F.lit(region).alias("region"), F.lit(n).alias("model"), "records", "total")
+        for region, settings in chosen.items() for n in _BUILT
     ]
     out = counts[0]
     for other in counts[1:]:
@@ -363,11 +379,9 @@ def anti(spark: Spark, sf: str) -> DataFrame:
     return content.collaborations(sheet, matches, SETTINGS).select("post_id", "username", "spend")
 
 
-@query("j09_constant_dimension", "SELECT market, pauta, metric_id, section, metric_label, target_value FROM m10 WHERE market <> 'total' OR pauta <> 'total' OR metric_id IN (SELECT metric_id FROM meta)")
+@query("j09_constant_dimension", "SELECT market, pauta, metric_id, section, metric_label, target_value FROM m10")
 def constant_dimension(spark: Spark, sf: str) -> DataFrame:
-    ids = [row[1] for row in SHEET_METRICS]
-    return targets(spark, sf).where(F.col("metric_id").isin(ids)).select(
-        "market", "pauta", "metric_id", "section", "metric_label", "target_value"
+    return targets(spark, sf).select(        "market", "pauta", "metric_id", "section", "metric_label", "target_value"
     )
 
 
@@ -390,13 +404,14 @@ _EVENT_DAYS = "SELECT ts::DATE AS day, event_type, count(*) AS events FROM event
 
 
 @query("j12_spine_fill", (
-    "SELECT day, event_type, coalesce(events, 0) AS events FROM (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE "
-    "AS day FROM days) CROSS JOIN (SELECT DISTINCT event_type FROM days) LEFT JOIN days USING (day, event_type)"
-), {"days": _EVENT_DAYS + " HAVING count(*) > 1"})
+    "SELECT day, o_orderstatus, coalesce(orders, 0) AS orders FROM (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE "
+    "AS day FROM days) CROSS JOIN (SELECT DISTINCT o_orderstatus FROM days) LEFT JOIN days USING (day, o_orderstatus)"
+), {"days": "SELECT o_orderdate::DATE AS day, o_orderstatus, count(*) AS orders FROM orders GROUP BY ALL"})
 def spine_fill(spark: Spark, sf: str) -> DataFrame:
-    days = _event_days(spark, sf).where(F.col("events") > 1)
-    return date_spine(days, ["event_type"], "day").join(days, ["day", "event_type"], "left").select(
-        "day", "event_type", *zero_fill(["events"])
+    orders = table(spark, sf, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    days = orders.groupBy("day", "o_orderstatus").agg(F.count("*").alias("orders"))
+    return date_spine(days, ["o_orderstatus"], "day").join(days, ["day", "o_orderstatus"], "left").select(
+        "day", "o_orderstatus", *zero_fill(["orders"])
     )
 
 
@@ -556,18 +571,17 @@ def agg_max_per_key(spark: Spark, sf: str) -> DataFrame:
     )
 
 
-@query("a15_mixed_rollup", "SELECT market, pauta, metric_id, target_value FROM m10 WHERE market <> 'total'")
+@query("a15_mixed_rollup", "SELECT market, pauta, metric_id, target_value FROM m10")
 def agg_mixed(spark: Spark, sf: str) -> DataFrame:
-    return targets(spark, sf).where(F.col("market") != "total").select("market", "pauta", "metric_id", "target_value")
+    return targets(spark, sf).select("market", "pauta", "metric_id", "target_value")
 
 
 # Windows and top-1.
 
 @query("w01_latest_record", "SELECT post_id, ingest_date, _ingested_at, likes, reach FROM m02_daily")
 def latest_record(spark: Spark, sf: str) -> DataFrame:
-    return keep_latest(
-        raw(spark, sf).select("post_id", "ingest_date", "_ingested_at", "likes", "reach"),
-        ["post_id", "ingest_date"], "_ingested_at",
+    return keep_latest(raw(spark, sf), ["post_id", "ingest_date"], "_ingested_at").select(
+        "post_id", "ingest_date", "_ingested_at", "likes", "reach"
     )
 
 

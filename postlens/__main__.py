@@ -10,7 +10,7 @@ import sys
 
 from postlens.plans.rebuild import rebuild
 from postlens.settings import Settings
-from postlens.sources import build_session, read_sources, size_shuffles
+from postlens.sources import build_session, read_sources
 
 
 def main(base: str, out: str, settings_file: str) -> None:
@@ -18,7 +18,6 @@ def main(base: str, out: str, settings_file: str) -> None:
         settings = Settings(**json.load(f))
     spark = build_session()
     sources = read_sources(spark, base, settings)
-    size_shuffles(sources["post_metrics"])
     rebuild(sources, out, settings)
     spark.stop()
 

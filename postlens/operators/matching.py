@@ -14,12 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlens.operators.filters import likely_in
+
 # A gram has the longest of these lengths that fits its run. Few lengths keep the
 # number of substrings per link low; 0 serves keys made of wildcards only.
 GRAM_SIZES = (32, 16, 8, 4, 2, 1, 0)
 
-# Largest key table (bytes of key text) that is sent to every executor.
+# Largest key table that is sent to every executor, and what a row takes there beside its texts.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+HASHED_ROW_BYTES = 64
 
 
 def _longest_run(key: Column) -> Column:
@@ -57,35 +60,49 @@ def link_pairs(
 
     ``keys`` holds distinct non-null values in a column ``key``. The key table is
     measured first: up to ``broadcast_bytes`` it is broadcast and the links are
-    never shuffled; a larger one is joined by a shuffle on the hash, where the
-    adaptive plan splits grams that many links share.
+    never shuffled. A larger one is joined by a shuffle in which only the post id and
+    a hash travel for each substring, and only hashes that some key has; the
+    links come back for the few that hit, and LIKE decides there.
     """
     grams = _with_gram(keys.where(F.col("key").isNotNull()).select("key"))
     # One row comes back: a byte count and at most len(GRAM_SIZES) numbers.
     measured = grams.agg(
-        F.sum(F.octet_length("key") + F.octet_length("__pattern") + F.octet_length("__gram")).alias("size"),
+        F.sum(HASHED_ROW_BYTES + F.octet_length("key") + F.octet_length("__pattern") + F.octet_length("__gram")).alias("size"),
         F.collect_set("__size").alias("sizes"),
     ).first()
     sizes = sorted(measured["sizes"]) or [0]
+    links = posts.where(F.col(link).isNotNull()).select(F.col(post).alias("post_id"), F.col(link).alias("__link"))
     if (measured["size"] or 0) <= broadcast_bytes:
-        grams = F.broadcast(grams)
+        return _probe(links, F.broadcast(grams), sizes)
+    return _shuffled(links, grams, sizes)
+
+
+def _starts(sizes: list[int]) -> Column:
+    """Places at which a substring of one of these lengths starts."""
+    return F.sequence(F.lit(1), F.greatest(F.length("__link") - max(sizes[0], 1) + 1, F.lit(1)))
+
 
-    text = F.col("__link")
-    at, size = F.col("__at"), F.col("__n")
-    last_start = F.greatest(F.length(text) - max(sizes[0], 1) + 1, F.lit(1))
+def _probe(links: DataFrame, grams: DataFrame, sizes: list[int]) -> DataFrame:
+    text, at, size = F.col("__link"), F.col("__at"), F.col("__n")
     pieces = (
-        posts.where(F.col(link).isNotNull())
-        .select(F.col(post).alias("post_id"), F.col(link).alias("__link"))
-        .withColumn("__at", F.explode(F.sequence(F.lit(1), last_start)))
+        links.withColumn("__at", F.explode(_starts(sizes)))
         .withColumn("__n", F.explode(F.array(*[F.lit(n) for n in sizes])))
         .where(((size > 0) & (at + size - 1 <= F.length(text))) | ((size == 0) & (at == 1)))
         .select("post_id", "__link", "__at", F.xxhash64(F.substring(text, at, size)).alias("__hash"))
     )
     # True where the gram stands in the link, and only at its first place there.
     first_place = F.expr("__size = 0 or locate(__gram, __link) = __at")
-    matches = F.expr("__link like __pattern")
-    return (
-        pieces.join(grams, "__hash")
-        .where(first_place & matches)
-        .select("key", "post_id")
-    )
+    return pieces.join(grams, "__hash").where(first_place & F.expr("__link like __pattern")).select("key", "post_id")
+
+
+def _shuffled(links: DataFrame, grams: DataFrame, sizes: list[int]) -> DataFrame:
+    """Rows with the same id and link are one until the end."""
+    rows = links.groupBy("post_id", "__link").agg(F.count("*").alias("__rows"))
+    rows = rows.withColumn("__row", F.xxhash64("post_id", F.col("post_id").isNull(), "__link"))
+    hashes = F.array_distinct(F.flatten(F.transform(_starts(sizes), lambda at: F.array(*[
+        F.xxhash64(F.substring(F.col("__link"), at, F.lit(n))) for n in sizes
+    ]))))
+    pieces = likely_in(rows.select("__row", F.explode(hashes).alias("__hash")), "__hash", grams.select("__hash"))
+    hits = pieces.join(grams.select("__hash", "key", "__pattern"), "__hash").select("__row", "key", "__pattern").distinct()
+    found = hits.join(rows, "__row").where(F.expr("__link like __pattern"))
+    return found.select("key", "post_id", F.explode(F.sequence(F.lit(1), F.col("__rows").cast("int")))).select("key", "post_id")

@@ -13,13 +13,14 @@ _RANK = "__rank"
 def keep_latest(df: DataFrame, keys: Sequence[str], newest: str, ties: bool = True) -> DataFrame:
     """One row per key: the one with the greatest ``newest``.
 
-    Ties fall to a hash of the row, so that a re-run task picks the same row;
-    pass ``ties=False`` where (keys, newest) is unique. Spark keeps the best row
-    of each key before the shuffle too, so many copies of one key do not travel.
+    Ties fall to the other columns in turn, least first and NULL before all, so
+    only rows that are equal throughout are interchangeable and a re-run task picks
+    the same one; pass ``ties=False`` where (keys, newest) is unique. Spark keeps the
+    best row of each key before the shuffle too, so many copies of one key do not travel.
     """
     order = [F.col(newest).desc_nulls_last()]
     if ties:
-        order.append(F.xxhash64(*df.columns))
+        order += [F.col(c).asc_nulls_first() for c in df.columns if c not in {*keys, newest}]
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 

@@ -263,9 +263,12 @@ def format_performance(content: DataFrame) -> DataFrame:
     )
 
 
-def content_timeseries(content: DataFrame) -> DataFrame:
+def content_timeseries(content: DataFrame, keep: Keep = stage) -> DataFrame:
     """Gap-free daily series by publishing day for each existing combination.
 
+    The daily totals are staged: combinations, bounds and values all come from them,
+    so the content is read once.
+
     Days without posts have zero counts and NULL rates. A combination with a NULL
     network or region meets no totals in the join and is zero on every day.
     """
@@ -277,7 +280,8 @@ def content_timeseries(content: DataFrame) -> DataFrame:
     totals = own.groupBy(day, *dims).agg(
         F.count_distinct("post_id").alias("posts"), *[F.sum(c).alias(c) for c in COUNTED]
     )
-    return date_spine(own, dims, day).join(totals, [day, *dims], "left").select(
+    totals = keep(totals, "daily_totals")
+    return date_spine(totals, dims, day).join(totals, [day, *dims], "left").select(
         day, *dims,
         *zero_fill(["posts", *COUNTED]),
         (F.coalesce("shares", F.lit(0)) + F.coalesce("saves", F.lit(0))).alias("shares_saves"),

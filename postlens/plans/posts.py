@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.fixed_values import COUNTERS, DELTA_COUNTERS, IDENTITY, NETWORK_VIEWS, POST_FIELDS, RATES
@@ -12,6 +12,9 @@ from postlens.settings import Settings
 
 DELTAS = [f"{c}_delta" for c in DELTA_COUNTERS]
 
+# Column of the written series only: whether the row is the newest of its post.
+NEWEST = "_is_newest"
+
 # Column order of the per-post mart.
 PERFORMANCE_COLUMNS = (
     "post_id profile_id username network country region market published_at published_date fact_date "
@@ -39,13 +42,20 @@ def post_metrics_raw(landed: DataFrame) -> DataFrame:
 
 
 def post_metrics(raw: DataFrame, settings: Settings) -> DataFrame:
-    """One row per (post, day) with gains since the post's previous snapshot.
+    """One row per (post, day) with gains since the post's previous snapshot."""
+    return post_series(raw, settings).drop(NEWEST)
+
+
+def post_series(raw: DataFrame, settings: Settings) -> DataFrame:
+    """``post_metrics`` as it is written: with a mark on the newest row of each post.
 
     A post has one row per day after the first step, so the second window's
-    groups are bounded by the number of days, however often a post was sent.
+    groups are bounded by the number of days, however often a post was sent. The
+    mark comes from that same window and saves readers from finding the row again.
     """
     daily = keep_latest(raw, ["post_id", "ingest_date"], "_ingested_at")
-    series = with_deltas(daily, "post_id", "ingest_date", DELTA_COUNTERS)
+    next_day = F.lead("ingest_date").over(Window.partitionBy("post_id").orderBy("ingest_date"))
+    series = with_deltas(daily, "post_id", "ingest_date", DELTA_COUNTERS).withColumn(NEWEST, next_day.isNull())
     return series.select(
         "post_id", "profile_id", "social_network_id", "username", "country", "network", "region",
         "created_at",
@@ -60,17 +70,20 @@ def post_metrics(raw: DataFrame, settings: Settings) -> DataFrame:
         *COUNTERS,
         *DELTAS,
         *RATES,
+        NEWEST,
     )
 
 
 def post_performance(metrics: DataFrame, settings: Settings) -> DataFrame:
     """Newest snapshot of each post with its market and ratios.
 
-    Read from the written table, the newest row per post is picked before the
-    shuffle; chained after ``post_metrics`` the rows already lie by post.
+    The written table marks that row, so a filter that reaches the scan is all it
+    takes. Without the mark, rows chained after ``post_metrics`` already lie by post.
     """
+    marked = NEWEST in metrics.columns
+    newest = metrics.where(NEWEST) if marked else keep_latest(metrics, ["post_id"], "ingest_date", ties=False)
     return (
-        keep_latest(metrics, ["post_id"], "ingest_date", ties=False)
+        newest
         .withColumns({
             "market": market_of("country", "username", settings.market_overrides),
             "published_at": F.col("created_at"),

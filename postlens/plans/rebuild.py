@@ -1,38 +1,52 @@
 """Full rebuild of every model of a region.
 
-No table is kept up incrementally: each run replaces it, so a record that arrives
-late or twice needs no special case. Regions do not share keys; each is rebuilt
-from its own sources into its own folder.
+No table is kept up incrementally: each run writes all of them anew, so a record that
+arrives late or twice needs no special case. A run has its own folder, and only a run
+that has ended is entered in the region's list of runs, so until then, and if it fails,
+readers see the run before. Regions do not share keys; each is rebuilt from its own
+sources into its own folder.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens.plans import brand, content, posts, scorecard
 from postlens.settings import Settings
-from postlens.sources import TABLE_LAYOUTS, create_view, read_table, stage, with_load_time, write_table
+from postlens.sources import TABLE_LAYOUTS, create_view, read_table, size_shuffles, stage, with_load_time, write_table
 
-# The source tables a region needs.
+# The source tables a region needs. ``rejected_lines`` is optional.
 SOURCES = ["post_metrics", "register", "paid", "targets", "listening", "competitors", "sponsors"]
 
+REJECTED = "rejected_lines"
+_RUNS = T.StructType([
+    T.StructField("run", T.StringType()),
+    T.StructField("finished_at", T.TimestampType()),
+    T.StructField("schemas", T.MapType(T.StringType(), T.StringType())),
+])
 
-def _replace(df: DataFrame, folder: str, name: str) -> DataFrame:
-    partition, cluster = TABLE_LAYOUTS[name]
-    write_table(df, f"{folder}/{name}", partition, cluster)
-    return read_table(df.sparkSession, f"{folder}/{name}", df.schema)
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
 
 
 def region_views(performance: DataFrame, sources: Mapping[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
-    """The models that are views: they follow the sheets without a rebuild of the tables."""
+    """The models that are views.
+
+    They hold no staged rows: each read computes them from the sheets as they are
+    then. Only whether the key table is broadcast is settled here, by its size.
+    """
     register, paid = sources["register"], sources["paid"]
-    matches = content.key_matches(performance, register, paid, settings)
     daily = brand.listening(sources["listening"])
     return posts.network_slices(performance) | {
-        "dm_match_content": content.match_content(register, paid, performance, settings, matches),
-        "dm_match_coverage": content.match_coverage(register, performance, settings, matches),
+        "dm_match_content": content.match_content(register, paid, performance, settings, keep=_as_is),
+        "dm_match_coverage": content.match_coverage(register, performance, settings, keep=_as_is),
         "dm_listening": daily,
         "dm_sentiment": brand.sentiment(daily),
         "dm_sov": brand.share_of_voice(sources["competitors"], sources["sponsors"], settings),
@@ -40,40 +54,73 @@ def region_views(performance: DataFrame, sources: Mapping[str, DataFrame], setti
 
 
 def rebuild(sources: Mapping[str, DataFrame], out: str, settings: Settings) -> dict[str, DataFrame]:
-    """Write the tables under ``out/<region>`` and return tables and views by name.
+    """Write the tables of a new run under ``out/<region>`` and return tables and views by name.
 
     Each model reads the written tables of the models before it. The matched
     content is a view, but three marts read it, so it is staged for the run.
+    Shuffles are sized by the landed metrics for the run.
     """
-    folder = f"{out}/{settings.region}"
+    spark = sources["register"].sparkSession
+    run = uuid.uuid4().hex
+    folder = f"{out}/{settings.region}/{run}"
     built: dict[str, DataFrame] = {}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_shuffles(sources["post_metrics"])
 
-    def table(name: str, df: DataFrame) -> DataFrame:
-        built[name] = _replace(df, folder, name)
+    def table(name: str, df: DataFrame, gather: bool = True) -> DataFrame:
+        partition, cluster = (TABLE_LAYOUTS | {REJECTED: ("dt", [])})[name]
+        write_table(df, f"{folder}/{name}", partition, cluster, gather)
+        built[name] = read_table(spark, f"{folder}/{name}", df.schema)
         return built[name]
 
-    raw = table("post_metrics_raw", posts.post_metrics_raw(sources["post_metrics"]))
-    metrics = table("post_metrics", with_load_time(posts.post_metrics(raw, settings)))
-    performance = table("dm_post_performance", posts.post_performance(metrics, settings))
-    table("dm_platform_summary", posts.platform_summary(metrics, settings))
-
-    built |= region_views(performance, sources, settings)
-    matched = built["dm_match_content"] = stage(built["dm_match_content"], "dm_match_content")
-    table("dm_format_performance", content.format_performance(matched))
-    table("dm_content_timeseries", content.content_timeseries(matched))
-    targets = table("kpi_targets", scorecard.kpi_targets(sources["targets"]))
-    table("dm_executive_scorecard", scorecard.executive_scorecard(
-        matched, targets, built["dm_listening"], built["dm_sov"], settings
-    ))
+    try:
+        if REJECTED in sources:
+            table(REJECTED, sources[REJECTED])
+        # landed files already lie by day
+        raw = table("post_metrics_raw", posts.post_metrics_raw(sources["post_metrics"]), gather=False)
+        metrics = table("post_metrics", with_load_time(posts.post_series(raw, settings)))
+        performance = table("dm_post_performance", posts.post_performance(metrics, settings))
+        table("dm_platform_summary", posts.platform_summary(metrics, settings))
+
+        built |= region_views(performance, sources, settings)
+        matches = content.key_matches(performance, sources["register"], sources["paid"], settings)
+        matched = stage(
+            content.match_content(sources["register"], sources["paid"], performance, settings, matches), "dm_match_content"
+        )
+        table("dm_format_performance", content.format_performance(matched))
+        table("dm_content_timeseries", content.content_timeseries(matched))
+        targets = table("kpi_targets", scorecard.kpi_targets(sources["targets"], settings.brand_targets))
+        table("dm_executive_scorecard", scorecard.executive_scorecard(
+            matched, targets, built["dm_listening"], built["dm_sov"], settings
+        ))
+        _finish(spark, f"{out}/{settings.region}", run, {n: built[n].schema.json() for n in [*TABLE_LAYOUTS, REJECTED] if n in built})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return built
 
 
+def _finish(spark: SparkSession, region: str, run: str, schemas: dict[str, str]) -> None:
+    """Enter a run that has ended. The list only grows, by one row in a file of its own."""
+    row = spark.createDataFrame([(run, None, schemas)], _RUNS).withColumn("finished_at", F.current_timestamp())
+    row.coalesce(1).write.mode("append").parquet(f"{region}/runs")
+
+
+def latest_tables(spark: SparkSession, region: str) -> dict[str, DataFrame]:
+    """The tables of the last run that has ended, with the schemas they were written with."""
+    last = spark.read.schema(_RUNS).parquet(f"{region}/runs").orderBy(F.desc("finished_at"), "run").first()
+    if last is None:
+        raise ValueError(f"no run of {region} has ended")
+    return {
+        name: read_table(spark, f"{region}/{last['run']}/{name}", T.StructType.fromJson(json.loads(schema)))
+        for name, schema in last["schemas"].items()
+    }
+
+
 def open_region(sources: Mapping[str, DataFrame], out: str, settings: Settings) -> dict[str, DataFrame]:
-    """Tables of an earlier rebuild, with the views computed from the sources as they are now."""
+    """Tables of the last rebuild, with the views computed from the sources as they are now."""
     spark = sources["register"].sparkSession
-    tables = {name: spark.read.parquet(f"{out}/{settings.region}/{name}") for name in TABLE_LAYOUTS}
-    performance = tables["dm_post_performance"].select(*posts.PERFORMANCE_COLUMNS)
-    return tables | region_views(performance, sources, settings)
+    tables = latest_tables(spark, f"{out}/{settings.region}")
+    return tables | region_views(tables["dm_post_performance"], sources, settings)
 
 
 def rebuild_regions(

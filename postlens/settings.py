@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from postlens.fixed_values import BRAND_METRICS
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -12,7 +14,8 @@ class Settings:
 
     ``market_overrides`` maps an account name to a market and wins over the
     country. ``brand_labels`` maps a brand column to its printed name; a brand
-    without an entry keeps its column name.
+    without an entry keeps its column name. ``brand_targets`` are the targets that
+    no sheet holds, as (metric_id, section, label, display order, target, format).
     """
 
     region: str = "latam"
@@ -24,6 +27,7 @@ class Settings:
     sponsor_brands: Sequence[str] = ()
     brand_labels: Mapping[str, str] = field(default_factory=dict)
     focus_brand: str = ""
+    brand_targets: Sequence[tuple] = tuple(BRAND_METRICS)
     trend_days: int = 30
     trend_limit: float = 5.0
 

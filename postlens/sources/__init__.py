@@ -1,10 +1,10 @@
 """Inputs, outputs and the session."""
 
-from postlens.sources.readers import read_landed_metrics, read_sources, read_text_snapshot
-from postlens.sources.session import build_session, checkpoint_folder, shuffle_partitions, size_shuffles, stage
+from postlens.sources.readers import read_landed_metrics, read_rejected_lines, read_sources, read_text_snapshot
+from postlens.sources.session import build_session, checkpoint_folder, input_bytes, shuffle_partitions, size_shuffles, stage
 from postlens.sources.writers import TABLE_LAYOUTS, create_view, read_table, with_load_time, write_table
 
 __all__ = [
-    "TABLE_LAYOUTS", "build_session", "checkpoint_folder", "create_view", "read_landed_metrics", "read_sources",
-    "read_table", "read_text_snapshot", "shuffle_partitions", "size_shuffles", "stage", "with_load_time", "write_table",
+    "TABLE_LAYOUTS", "build_session", "checkpoint_folder", "create_view", "input_bytes", "read_landed_metrics",
+    "read_rejected_lines", "read_sources", "read_table", "read_text_snapshot", "shuffle_partitions", "size_shuffles", "stage", "with_load_time", "write_table",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.fixed_values import COUNTERS, IDENTITY, POST_FIELDS, RATES
@@ -39,10 +40,28 @@ SNAPSHOT_COLUMNS = {
 }
 
 
-def read_landed_metrics(spark: SparkSession, base: str, region: str | None = None, mode: str = "PERMISSIVE") -> DataFrame:
-    """Newline-delimited JSON under ``region=<r>/dt=<day>/``; folders of other regions are not listed."""
-    df = spark.read.schema(LANDED_SCHEMA).option("mode", mode).option("basePath", base)
-    return df.json(f"{base}/region={region}" if region else base)
+_BROKEN = "_corrupt_record"
+
+# Empty for readable lines. Spark tells broken lines only to readers of some other column as well.
+_BROKEN_TEXT = f"concat_ws('', {_BROKEN}, left(post_id, 0))"
+
+
+def _landed_lines(spark: SparkSession, base: str, region: str | None) -> DataFrame:
+    schema = T.StructType([*LANDED_SCHEMA.fields, T.StructField(_BROKEN, _TEXT)])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", _BROKEN).option("basePath", base)
+    return reader.json(f"{base}/region={region}" if region else base)
+
+
+def read_landed_metrics(spark: SparkSession, base: str, region: str | None = None) -> DataFrame:
+    """Readable records of newline-delimited JSON under ``region=<r>/dt=<day>/``; folders of other regions are not listed."""
+    lines = _landed_lines(spark, base, region)
+    return lines.where(f"{_BROKEN_TEXT} = ''").drop(_BROKEN)
+
+
+def read_rejected_lines(spark: SparkSession, base: str, region: str | None = None) -> DataFrame:
+    """The lines that ``read_landed_metrics`` leaves out, as they stand, with where they lie."""
+    lines = _landed_lines(spark, base, region).where(f"{_BROKEN_TEXT} <> ''")
+    return lines.select("region", "dt", F.expr(_BROKEN_TEXT).alias("line"))
 
 
 def snapshot_schema(columns: Sequence[str], dated: bool) -> T.StructType:
@@ -64,7 +83,7 @@ def read_text_snapshot(
 def read_sources(
     spark: SparkSession, base: str, settings: Settings, fmt: str = "parquet", **options: str
 ) -> dict[str, DataFrame]:
-    """Every source table of a region: landed metrics and the six snapshots, one folder each.
+    """Every source table of a region: landed metrics, lines of them that can't be read, and the six snapshots.
 
     ``fecha`` is a date in the three daily tables and text in the register.
     """
@@ -77,4 +96,9 @@ def read_sources(
         name: read_text_snapshot(spark, f"{base}/{name}", names, name in dated, fmt, **options)
         for name, names in columns.items()
     }
-    return {"post_metrics": read_landed_metrics(spark, f"{base}/post_metrics", settings.region), **tables}
+    landed = f"{base}/post_metrics"
+    return {
+        "post_metrics": read_landed_metrics(spark, landed, settings.region),
+        "rejected_lines": read_rejected_lines(spark, landed, settings.region),
+        **tables,
+    }

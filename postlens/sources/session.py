@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+import posixpath
+import re
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -27,21 +31,32 @@ def build_session(app: str = "postlens", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-def shuffle_partitions(input_bytes: int, per_partition: int = 512 * 2**20, least: int = 200, most: int = 100_000) -> int:
+PARTITION_BYTES = 512 * 2**20
+
+
+def shuffle_partitions(input_bytes: int, per_partition: int = PARTITION_BYTES, least: int = 200) -> int:
     """Partitions that keep a shuffle of the whole input at a size a task can sort."""
-    return min(most, max(least, -(-input_bytes // per_partition)))
+    return max(least, -(-input_bytes // per_partition))
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files that ``df`` reads, from their listing; 0 if it reads none."""
+    folders = sorted({unquote(posixpath.dirname(f)) for f in df.inputFiles()})
+    if not folders:
+        return 0
+    listed = df.sparkSession.read.format("binaryFile").load(folders)
+    return listed.agg(F.sum("length")).first()[0] or 0
 
 
-def size_shuffles(df: DataFrame) -> int:
+def size_shuffles(df: DataFrame, per_partition: int = PARTITION_BYTES) -> int:
     """Raise the session's shuffle partitions to fit ``df``, the largest input of a run.
 
-    The size is the one Spark plans with, taken from the file listing. The adaptive
-    plan merges small partitions but never adds any, so the start has to be ample;
-    a higher setting of the cluster stays.
+    The adaptive plan merges small partitions but never adds any, so the start has
+    to be ample; a higher setting of the cluster stays. Where files are packed much
+    tighter than rows in a shuffle, give a smaller ``per_partition``.
     """
     spark, key = df.sparkSession, "spark.sql.shuffle.partitions"
-    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = shuffle_partitions(known, least=int(spark.conf.get(key)))
+    wanted = shuffle_partitions(input_bytes(df), per_partition, least=int(spark.conf.get(key)))
     spark.conf.set(key, wanted)
     return wanted
 
@@ -50,7 +65,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only in local mode."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="postlens-")
         spark.sparkContext.setCheckpointDir(folder)

@@ -24,16 +24,20 @@ def with_load_time(df: DataFrame, name: str = "_loaded_at") -> DataFrame:
     return df.withColumn(name, F.current_timestamp())
 
 
-def write_table(df: DataFrame, path: str, partition: str | None = None, cluster: list[str] | None = None) -> None:
-    """Replace a table, one folder per partition value, sorted within files.
+def write_table(
+    df: DataFrame, path: str, partition: str | None = None, cluster: list[str] | None = None, gather: bool = True
+) -> None:
+    """Write a table, one folder per partition value, sorted within files.
 
     The rebalance hint gathers a day's rows into few files but lets the adaptive
     plan split a day that holds much of the table over many tasks, which
-    ``repartition(day)`` would put into one.
+    ``repartition(day)`` would put into one. With ``gather=False`` tasks write what
+    they hold, for input that already lies by partition.
     """
     order = list(cluster or [])
     if partition:
-        df = df.hint("rebalance", F.col(partition))
+        if gather:
+            df = df.hint("rebalance", F.col(partition))
         order = [partition, *order]
     if order:
         df = df.sortWithinPartitions(*order)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import json
+import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,11 +14,14 @@ from pyspark.sql import functions as F
 from checks.catalog import full_scorecard, raw
 from checks.fixtures import FIXTURES, SETTINGS, fixture
 from conftest import plan_text
-from postlens.plans.rebuild import open_region, publish_views, rebuild_regions
+from postlens.plans import posts
+from postlens.plans.rebuild import open_region, publish_views, rebuild, rebuild_regions
 from postlens.sources import (
     TABLE_LAYOUTS,
     checkpoint_folder,
+    input_bytes,
     read_landed_metrics,
+    read_rejected_lines,
     read_sources,
     read_table,
     read_text_snapshot,
@@ -55,7 +61,7 @@ def test_landed_folders_are_pruned(spark, tmp_path):
     df = read_landed_metrics(spark, str(tmp_path)).where("dt = DATE '2024-01-03'").select("post_id", "likes")
     plan = plan_text(df)
     filters = next(l for l in plan.splitlines() if "PartitionFilters" in l).split("PartitionFilters: ")[1]
-    assert filters.startswith("[isnotnull(dt") and "ReadSchema: struct<post_id:string,likes:string>" in plan
+    assert filters.startswith("[isnotnull(dt") and "post_id:string,likes:string" in plan and "thumbnail_url" not in plan
 
 
 def test_text_snapshot_stays_text(spark, tmp_path):
@@ -109,14 +115,16 @@ def test_rebuild_regions(spark, tmp_path):
     sources = read_sources(spark, base, SETTINGS)
     built = rebuild_regions({"latam": sources}, str(tmp_path), {"latam": SETTINGS})["latam"]
     assert built["dm_executive_scorecard"].count() == full_scorecard(spark, SF).count() > 0
-    assert set(TABLE_LAYOUTS) <= {p.name for p in (tmp_path / "latam").iterdir()}
+    run = next(p for p in (tmp_path / "latam").iterdir() if p.name != "runs")
+    assert set(TABLE_LAYOUTS) <= {p.name for p in run.iterdir()}
     assert "_loaded_at" in built["post_metrics"].columns and "_loaded_at" not in built["dm_post_performance"].columns
     names = publish_views(built, "latam_")
-    assert len(names) == len(TABLE_LAYOUTS) + 10
+    assert len(names) == len(TABLE_LAYOUTS) + 11
     assert spark.sql("SELECT count(*) FROM latam_dw_tiktok").first()[0] == built["dw_tiktok"].count()
 
     later = open_region(sources, str(tmp_path), SETTINGS)
     assert set(later) == set(built)
+    assert built["rejected_lines"].count() == 0
     for name in ["dm_match_content", "dm_match_coverage", "dw_tiktok", "dm_sov", "dm_post_performance"]:
         assert later[name].count() == built[name].count()
 
@@ -139,10 +147,81 @@ def test_unset_folder_off_local_mode_is_refused(monkeypatch):
 def test_shuffles_are_sized_by_the_input(spark):
     assert shuffle_partitions(0) == 200
     assert shuffle_partitions(2**40) == 2048
-    assert shuffle_partitions(10**14) == 100_000
+    assert shuffle_partitions(10**14) == 186_265
     before = spark.conf.get("spark.sql.shuffle.partitions")
     assert size_shuffles(spark.range(10)) == int(before)
     try:
-        assert size_shuffles(spark.range(2**31)) == 32  # 16 GiB of longs
+        files = spark.read.parquet(f"{SF}/orders.parquet")
+        known = sum(os.path.getsize(p) for p in glob.glob(f"{SF}/*.parquet"))  # the folder is listed
+        assert input_bytes(files) == known
+        assert size_shuffles(files, per_partition=1000) == -(-known // 1000)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_lines_that_cannot_be_read_are_kept_apart(spark, tmp_path):
+    _land(tmp_path, "latam", "2024-01-02", [{"post_id": "p", "likes": "5"}])
+    (tmp_path / "region=latam" / "dt=2024-01-02" / "more.json").write_text('{"post_id": "q", "likes": \n{"post_id": "r"}\nnot json\n')
+    assert {r["post_id"] for r in read_landed_metrics(spark, str(tmp_path)).collect()} == {"p", "r"}
+    rejected = read_rejected_lines(spark, str(tmp_path))
+    assert sorted((r["region"], r["dt"], r["line"]) for r in rejected.collect()) == [
+        ("latam", D(2024, 1, 2), "not json"), ("latam", D(2024, 1, 2), '{"post_id": "q", "likes": ')]
+
+
+def _staged_sources(spark):
+    return {n.removeprefix("fx_"): stage(fixture(spark, SF, n), n) for n in FIXTURES if n != "fx_platform_posts"}
+
+
+def test_a_failed_rebuild_leaves_the_tables_before(spark, tmp_path, monkeypatch):
+    sources = _staged_sources(spark)
+    built = rebuild(sources, str(tmp_path), SETTINGS)
+    want = built["dm_executive_scorecard"].count()
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("postlens.plans.scorecard.executive_scorecard", fail)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(RuntimeError, match="lost"):
+        rebuild(sources, str(tmp_path), SETTINGS)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert open_region(sources, str(tmp_path), SETTINGS)["dm_executive_scorecard"].count() == want > 0
+
+
+def test_a_region_without_matched_content_opens_again(spark, tmp_path):
+    sources = _staged_sources(spark)
+    sources |= {"register": sources["register"].limit(0), "paid": sources["paid"].limit(0)}
+    rebuild(sources, str(tmp_path), SETTINGS)
+    opened = open_region(sources, str(tmp_path), SETTINGS)
+    assert opened["dm_content_timeseries"].count() == 0 and opened["post_metrics"].count() > 0
+    assert "_loaded_at" in opened["post_metrics"].columns
+
+
+def test_newest_rows_are_read_without_a_shuffle(spark, tmp_path):
+    series = posts.post_series(raw(spark, SF), SETTINGS)
+    path = str(tmp_path / "series")
+    write_table(series, path, *TABLE_LAYOUTS["post_metrics"])
+    newest = posts.post_performance(read_table(spark, path, series.schema), SETTINGS)
+    plan = plan_text(newest)
+    assert "Exchange" not in plan and "EqualTo(_is_newest,true)" in plan or "PushedFilters: [IsNotNull(_is_newest)" in plan
+    want = posts.post_performance(posts.post_metrics(raw(spark, SF), SETTINGS), SETTINGS)
+    assert newest.exceptAll(want).count() == 0 == want.exceptAll(newest).count()
+
+
+def test_views_follow_the_sheets(spark, tmp_path):
+    sources = _staged_sources(spark)
+    folder = str(tmp_path / "register")
+    sources["register"].write.parquet(folder)
+    sources["register"] = spark.read.schema(sources["register"].schema).parquet(folder)
+    rebuild(sources, str(tmp_path), SETTINGS)
+    first = open_region(sources, str(tmp_path), SETTINGS)["dm_match_coverage"].count()
+    sources["register"].limit(5).write.mode("append").parquet(folder)
+    sources["register"] = spark.read.schema(sources["register"].schema).parquet(folder)
+    assert open_region(sources, str(tmp_path), SETTINGS)["dm_match_coverage"].count() == first + 10
+
+
+def test_brand_targets_are_settings(spark, tmp_path):
+    own = replace(SETTINGS, brand_targets=[("sentiment", "brand", "Sentiment", 1, 0.9, "percent")])
+    built = rebuild(_staged_sources(spark), str(tmp_path), own)
+    rows = built["kpi_targets"].where("metric_id = 'sentiment'").collect()
+    assert [r["target_value"] for r in rows] == [0.9]
