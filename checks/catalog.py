@@ -6,8 +6,9 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from checks.fixtures import SETTINGS, fixture
+from checks.fixtures import SETTINGS, fixture, table
 from checks.oracle import market as sql_market
 from checks.oracle import statement
 from postlens.functions import engagement_rate, market_of, region_of, share_rate, view_through_rate
@@ -220,20 +221,31 @@ def platform_kpis(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Every pair of letters turns up as a country, so every listed code does, and many that are not.
+_CODES = "SELECT event_id, chr((65 + event_id % 26)::INT) || chr((65 + event_id // 26 % 26)::INT) AS country, 'acct_' || (event_id % 5) AS username FROM events"
+
+
+def country_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select(
+        "event_id",
+        F.expr("chr(65 + event_id % 26) || chr(65 + event_id div 26 % 26)").alias("country"),
+        F.expr("'acct_' || (event_id % 5)").alias("username"),
+    )
+
+
 @query("m19_region_of", (
-    "SELECT post_id, country, CASE WHEN upper(country) IN ('US', 'CA') THEN 'namer' WHEN upper(country) IN "
+    "SELECT event_id, country, CASE WHEN country IN ('US', 'CA') THEN 'namer' WHEN country IN "
     "('MX','GT','HN','SV','NI','CR','PA','CO','VE','EC','PE','BO','CL','AR','PY','UY','BR','DO','PR','JM','TT','HT') THEN 'latam' "
-    "END AS business_region FROM fx_post_metrics"
-))
+    "WHEN country IN ('ES','GB','UK','FR','DE','IT','PT','NL','BE','CH','AT','IE','SE','NO','DK','FI','PL','CZ','RO','GR','TR','IL',"
+    "'AE','SA','EG','ZA','NG','KE','MA') THEN 'emea' END AS business_region FROM codes"
+), {"codes": _CODES})
 def regions(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture(spark, sf, "fx_post_metrics").select(
-        "post_id", "country", region_of("country").alias("business_region")
-    )
+    return country_codes(spark, sf).select("event_id", "country", region_of("country").alias("business_region"))
 
 
-@query("m20_market_of", f"SELECT post_id, country, username, {sql_market()} AS market FROM fx_post_metrics")
+@query("m20_market_of", f"SELECT event_id, country, username, {sql_market()} AS market FROM codes", {"codes": _CODES})
 def markets(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture(spark, sf, "fx_post_metrics").select(
-        "post_id", "country", "username",
+    return country_codes(spark, sf).select(
+        "event_id", "country", "username",
         market_of("country", "username", SETTINGS.market_overrides).alias("market"),
     )

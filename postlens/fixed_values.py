@@ -47,16 +47,22 @@ NETWORK_NAMES = {
 
 # Business region -> ISO country codes.
 REGION_COUNTRIES = {
-    "namer": "US CA".split(),
-    "latam": "MX GT HN SV NI CR PA CO VE EC PE BO CL AR PY UY BR DO PR JM TT HT".split(),
-    "emea": "ES GB UK FR DE IT PT NL BE CH AT IE SE NO DK FI PL CZ RO GR TR IL AE SA EG ZA NG KE MA".split(),
+    "namer": ["US", "CA"],
+    "latam": [
+        "MX", "GT", "HN", "SV", "NI", "CR", "PA", "CO", "VE", "EC", "PE", "BO", "CL", "AR", "PY", "UY", "BR", "DO",
+        "PR", "JM", "TT", "HT",
+    ],
+    "emea": [
+        "ES", "GB", "UK", "FR", "DE", "IT", "PT", "NL", "BE", "CH", "AT", "IE", "SE", "NO", "DK", "FI", "PL", "CZ",
+        "RO", "GR", "TR", "IL", "AE", "SA", "EG", "ZA", "NG", "KE", "MA",
+    ],
 }
 
 # Commercial market -> ISO country codes.
 MARKET_COUNTRIES = {
-    "mexico": "MX".split(),
-    "andino": "CO EC PE VE BO".split(),
-    "carcam": "CR DO GT JM PA PR SV HN NI TT HT".split(),
+    "mexico": ["MX"],
+    "andino": ["CO", "EC", "PE", "VE", "BO"],
+    "carcam": ["CR", "DO", "GT", "JM", "PA", "PR", "SV", "HN", "NI", "TT", "HT"],
 }
 
 # Spellings used in the register, the paid sheet and the target sheet.

@@ -16,16 +16,16 @@ DELTAS = [f"{c}_delta" for c in DELTA_COUNTERS]
 NEWEST = "_is_newest"
 
 # Column order of the per-post mart.
-PERFORMANCE_COLUMNS = (
-    "post_id profile_id username network country region market published_at published_date fact_date "
-    "format campaign_tag source_link copy thumbnail_url "
-    "reach views video_views comments likes shares saves engagement follows profile_visits profile_activity "
-    "exits taps_back taps_forward "
-    + " ".join(DELTAS)
-    + " days_since_prev engagement_rate roi frequency share_rate save_rate "
-    "ig_reels_avg_watch_time ig_reels_video_view_total_time average_time_watched total_time_watched "
-    "full_video_watched_rate vtr_50"
-).split()
+PERFORMANCE_COLUMNS = [
+    "post_id", "profile_id", "username", "network", "country", "region", "market", "published_at",
+    "published_date", "fact_date", "format", "campaign_tag", "source_link", "copy", "thumbnail_url", "reach",
+    "views", "video_views", "comments", "likes", "shares", "saves", "engagement", "follows", "profile_visits",
+    "profile_activity", "exits", "taps_back", "taps_forward",
+    *DELTAS,
+    "days_since_prev", "engagement_rate", "roi", "frequency", "share_rate", "save_rate",
+    "ig_reels_avg_watch_time", "ig_reels_video_view_total_time", "average_time_watched", "total_time_watched",
+    "full_video_watched_rate", "vtr_50",
+]
 
 
 def post_metrics_raw(landed: DataFrame) -> DataFrame:

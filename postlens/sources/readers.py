@@ -27,16 +27,20 @@ LANDED_SCHEMA = T.StructType(
 # Columns of the text snapshots. The two brand tables have a date and
 # one column per brand, which the settings name.
 SNAPSHOT_COLUMNS = {
-    "register": "market fecha nombre link_ig link_tiktok autor copy_out tipo_contenido pauta_ig pauta_tiktok".split(),
-    "paid": (
-        "published_date name creador esfuerzo network format url inversion_ejecutada reach impressions views "
-        "vtr_50 likes comments shares engagement engagement_rate investment fuente post_id"
-    ).split(),
-    "targets": (
-        "pais region kpi reach views_platform impressions ave_impressions ave_views comments likes share saves "
-        "vtr50 engagement_rate share_rate save_rate"
-    ).split(),
-    "listening": "fecha reach total_mentions menciones_efectivas men_pos men_neg men_neu".split(),
+    "register": [
+        "market", "fecha", "nombre", "link_ig", "link_tiktok", "autor", "copy_out", "tipo_contenido", "pauta_ig",
+        "pauta_tiktok",
+    ],
+    "paid": [
+        "published_date", "name", "creador", "esfuerzo", "network", "format", "url", "inversion_ejecutada", "reach",
+        "impressions", "views", "vtr_50", "likes", "comments", "shares", "engagement", "engagement_rate",
+        "investment", "fuente", "post_id",
+    ],
+    "targets": [
+        "pais", "region", "kpi", "reach", "views_platform", "impressions", "ave_impressions", "ave_views",
+        "comments", "likes", "share", "saves", "vtr50", "engagement_rate", "share_rate", "save_rate",
+    ],
+    "listening": ["fecha", "reach", "total_mentions", "menciones_efectivas", "men_pos", "men_neg", "men_neu"],
 }
 
 
