@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.catalog import (
@@ -45,6 +45,7 @@ from postlens.functions import (
     safe_double,
     safe_long,
     trim_all,
+    within_limit,
 )
 from postlens.operators import (
     date_spine,
@@ -635,14 +636,11 @@ def share_of_partition(spark: Spark, sf: str) -> DataFrame:
 
 @query("k01_top_one", (
     "SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders "
-    "QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"
+    "QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1"
 ))
 def top_one(spark: Spark, sf: str) -> DataFrame:
-    window = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
-    return (
-        table(spark, sf, "orders").withColumn("place", F.row_number().over(window)).where(F.col("place") == 1)
-        .select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    )
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return keep_latest(orders, ["o_custkey"], "o_orderdate")
 
 
 @query("k02_display_order", "SELECT display_order, metric_label, market, pauta, target_value FROM m10 ORDER BY ALL")
@@ -706,14 +704,12 @@ def long_pairs_of_posts(spark: Spark, sf: str) -> DataFrame:
 
 
 @query("r04_long_by_platform", (
-    f"SELECT nombre, 'instagram' AS platform, {key_ig('link_ig')} AS key FROM fx_register UNION ALL "
+    f"SELECT nombre AS content_name, 'instagram' AS platform, {key_ig('link_ig')} AS key FROM fx_register UNION ALL "
     f"SELECT nombre, 'tiktok', {key_tk('link_tiktok')} FROM fx_register"
 ))
 def long_by_platform(spark: Spark, sf: str) -> DataFrame:
-    return content.register_keys(register(spark, sf)).select("nombre", F.inline(F.array(
-        F.struct(F.lit("instagram").alias("platform"), F.col("ig_shortcode").alias("key")),
-        F.struct(F.lit("tiktok").alias("platform"), F.col("tiktok_id").alias("key")),
-    )))
+    coverage = content.match_coverage(register(spark, sf), staged_performance(spark, sf), SETTINGS)
+    return coverage.select("content_name", "platform", F.coalesce("ig_shortcode", "tiktok_id").alias("key"))
 
 
 @query("r05_trend", "SELECT * FROM trend")
@@ -806,7 +802,7 @@ for _args in [
         "size": (lambda: F.when(_c("o_totalprice") > 300000, "large").when(_c("o_totalprice") > 100000, "middle").otherwise("small"),
                  "CASE WHEN o_totalprice > 300000 THEN 'large' WHEN o_totalprice > 100000 THEN 'middle' ELSE 'small' END")}),
     ("f17_abs_guard", "fx_platform_posts", ["event_id"], {
-        "change": (lambda: F.when(F.abs(_change()) <= 5, _change()),
+        "change": (lambda: within_limit(_change(), 5),
                    f"CASE WHEN abs({div('shares - saves', 'saves')}) <= 5 THEN {div('shares - saves', 'saves')} END")}),
     ("f18_date_of_time", "orders", ["o_orderkey"], {"day": (lambda: F.to_date("o_orderdate"), "o_orderdate::DATE")}),
     ("f19_date_diff", "orders", ["o_orderkey"], {

@@ -7,7 +7,7 @@ from postlens.functions.dimensions import (
     pauta_of,
     region_of,
 )
-from postlens.functions.kpis import engagement_rate, safe_divide, share_rate, view_through_rate
+from postlens.functions.kpis import engagement_rate, safe_divide, share_rate, view_through_rate, within_limit
 from postlens.functions.text import (
     clean_number,
     extract,
@@ -23,5 +23,5 @@ __all__ = [
     "clean_number", "engagement_rate", "extract", "initcap_words", "is_blank",
     "is_collaboration", "market_of", "network_name", "parse_month_day", "pauta_of",
     "region_of", "safe_divide", "safe_double", "safe_long", "share_rate", "trim_all",
-    "view_through_rate",
+    "view_through_rate", "within_limit",
 ]

@@ -24,6 +24,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def within_limit(change: Column, limit: float) -> Column:
+    """The change, or NULL where it is beyond the limit either way and so noise."""
+    return F.when(F.abs(change) <= limit, change)
+
+
 def safe_divide(a: Column | str, b: Column | str) -> Column:
     """a / b as a double, NULL when b is zero or either side is NULL."""
     return F.try_divide(_col(a).cast("double"), _col(b).cast("double"))

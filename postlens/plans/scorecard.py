@@ -15,7 +15,7 @@ from postlens.fixed_values import (
     TARGET_MARKETS,
     TARGET_PAUTAS,
 )
-from postlens.functions import clean_number, is_blank, safe_divide, safe_double, trim_all
+from postlens.functions import clean_number, is_blank, safe_divide, safe_double, trim_all, within_limit
 from postlens.operators import long_pairs
 from postlens.plans.content import Keep, own_content
 from postlens.settings import Settings
@@ -217,7 +217,7 @@ def trend(cells: DataFrame, settings: Settings) -> DataFrame:
     for metric in last:
         now, before = last[metric].cast("double"), prev[metric].cast("double")
         change = safe_divide(now - before, before)
-        kept = F.when(F.abs(change) > settings.trend_limit, F.lit(None)).otherwise(change)
+        kept = within_limit(change, settings.trend_limit)
         cells_out.append(F.struct(F.lit(metric).alias("metric_id"), kept.alias("trend_pct")))
     return sums.select(F.inline(F.array(*cells_out)), "network", "market")
 
