@@ -1,11 +1,11 @@
 """Reusable DataFrame operators."""
 
-from postlens.operators.filters import likely_in
+from postlens.operators.filters import likely_in, split_likely
 from postlens.operators.matching import link_pairs
 from postlens.operators.reshape import date_spine, long_pairs, share_within, unpivot_present, zero_fill
 from postlens.operators.snapshots import keep_latest, with_deltas
 
 __all__ = [
-    "date_spine", "keep_latest", "likely_in", "link_pairs", "long_pairs", "share_within", "unpivot_present",
+    "date_spine", "keep_latest", "likely_in", "link_pairs", "long_pairs", "share_within", "split_likely", "unpivot_present",
     "with_deltas", "zero_fill",
 ]

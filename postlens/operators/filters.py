@@ -15,6 +15,11 @@ def likely_in(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     Ids are whole numbers. The filter has a fixed size, at most 1,024 bitmaps of
     4 KB; with very many ids it lets more rows pass, never fewer.
     """
+    return split_likely(df, column, ids)[0]
+
+
+def split_likely(df: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows as in ``likely_in``, and the others, whose id is surely not in ``ids``."""
     def bit(c: Column) -> Column:
         return F.pmod(F.xxhash64(c.cast("long")), F.lit(FILTER_BITS)) + 1
 
@@ -33,5 +38,6 @@ def likely_in(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
         .withColumn("__byte", byte.cast("int"))
         .withColumn("__place", (place % 8).cast("int"))
     )
-    inside = F.expr("shiftright(__byte, __place) & 1") == 1
-    return marked.where(inside | F.col(column).isNull()).drop("__bucket", "__bits", "__byte", "__place")
+    inside = F.coalesce(F.expr("shiftright(__byte, __place) & 1") == 1, F.lit(False)) | F.col(column).isNull()
+    ours = ["__bucket", "__bits", "__byte", "__place"]
+    return marked.where(inside).drop(*ours), marked.where(~inside).drop(*ours)
