@@ -65,32 +65,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Bits of the filter that ``likely_in`` sends to all executors, 4 MB.
-FILTER_BITS = 2**25
-
-
-def likely_in(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose id is in the one column of ``ids``, and few others; null ids stay.
-
-    For use before a join that would deal wide rows: what can't match is not dealt. The filter
-    has a fixed size, at most 1,024 bitmaps of 4 KB; with very many ids it lets more rows
-    pass, never fewer.
-    """
-    def bit(c: Column) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
-
-    name = ids.columns[0]
-    bitmaps = ids.where(F.col(name).isNotNull()).select(bit(F.col(name).cast("long")).alias("__bit")).groupBy(
-        F.bitmap_bucket_number("__bit").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__bit")).alias("__bits"))
-    key = bit(F.col(column).cast("long"))
-    place = F.bitmap_bit_position(key)
-    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    inside = F.expr("shiftright(__byte, __place) & 1") == 1
-    marked = df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(key) == F.col("__bucket"), "left")
-    marked = marked.withColumn("__byte", byte).withColumn("__place", (place % 8).cast("int"))
-    return marked.where(inside | F.col(column).isNull()).drop("__bucket", "__bits", "__byte", "__place")
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
