@@ -22,11 +22,13 @@ ORDER = 3
 DECAY = 0.6
 #: Longer words are taken in windows that overlap by half.
 LONGEST = 14
-LANDMARKS = 96
+LANDMARKS = 256
 #: At most so many labelled texts of each label are learned from; the first by a seeded hash.
 SAMPLE_PER_LABEL = 1500
 SEED = 11
-ROUNDS, STEPS, SHRINK, NEGATIVE_WEIGHT = 4, 400, 1e-4, 20
+ROUNDS, STEPS, SHRINK, NEGATIVE_WEIGHT = 4, 400, 1e-4, 4
+#: At most so many different words of clean texts, the first by hash, are negatives.
+NEGATIVES = 100_000
 #: Standard errors by which a word must be more frequent in toxic texts to be telling.
 SURE = 3.5
 #: And how many times as frequent it must be there.
@@ -91,35 +93,58 @@ def _windows(word: str) -> list[str]:
     return [word[k:k + LONGEST] for k in range(0, len(word) - step, step)]
 
 
-def against_tables(words: list[str], tables: np.ndarray) -> np.ndarray:
+def _by_length(words: list[str]) -> dict[int, tuple[list[int], list[str]]]:
+    out: dict[int, tuple[list[int], list[str]]] = {}
+    for i, word in enumerate(words):
+        for w in _windows(word):
+            rows, parts = out.setdefault(len(w), ([], []))
+            rows.append(i)
+            parts.append(w)
+    return out
+
+
+def against_tables(words: list[str], tables: np.ndarray, column: np.ndarray | None = None) -> np.ndarray:
     """For each word (row) and function (column) the largest value that the function takes on a window of the word.
 
     A function is given by its value on each subsequence: the kernel has finitely many
     features, so a kernel with a landmark, or a weighted sum of them, is such a table.
-    Words that are too short get minus infinity.
+    ``column`` says where a subsequence stands in the tables. Words that are too short get
+    minus infinity.
     """
     out = np.full((len(words), len(tables)), -np.inf, dtype=np.float32)
-    by_length: dict[int, tuple[list[int], list[str]]] = {}
-    for i, word in enumerate(words):
-        for w in _windows(word):
-            rows, parts = by_length.setdefault(len(w), ([], []))
-            rows.append(i)
-            parts.append(w)
-    for rows, parts in by_length.values():
+    for rows, parts in _by_length(words).values():
         for at in range(0, len(parts), 10_000):
             kinds, weights = _features(parts[at:at + 10_000])
+            if column is not None:
+                kinds = column[kinds]
             for k, table in enumerate(tables):
                 np.maximum.at(out[:, k], rows[at:at + 10_000], np.einsum("ij,ij->i", table[kinds], weights))
     return out
 
 
-def _as_table(words: Sequence[str]) -> np.ndarray:
-    """One row per word: its normalized features over all subsequences."""
-    out = np.zeros((len(words), _LETTERS**ORDER), dtype=np.float32)
-    for i, word in enumerate(words):
-        kinds, weights = _features([word])
-        np.add.at(out[i], kinds[0], weights[0])
-    return out
+class Landmarks:
+    """Words whose kernels span the space in which the machine is linear (Nyström)."""
+
+    def __init__(self, words: list[str]) -> None:
+        features = [_features([w]) for w in words]
+        self.kinds = np.unique(np.concatenate([kinds[0] for kinds, _ in features]))
+        self.column = np.zeros(_LETTERS**ORDER, dtype=np.int32)  # 0: a subsequence that no landmark has
+        self.column[self.kinds] = np.arange(1, len(self.kinds) + 1)
+        self.tables = np.zeros((len(words), len(self.kinds) + 1), dtype=np.float32)
+        for row, (kinds, weights) in zip(self.tables, features):
+            np.add.at(row, self.column[kinds[0]], weights[0])
+        value, vector = np.linalg.eigh((self.tables @ self.tables.T).astype(np.float64))
+        used = value > 1e-6 * value.max()
+        self.whiten = (vector[:, used] / np.sqrt(value[used])).astype(np.float32)
+
+    def project(self, words: list[str]) -> np.ndarray:
+        return against_tables(words, self.tables, self.column) @ self.whiten
+
+    def folded(self, w: np.ndarray) -> np.ndarray:
+        """A linear function of projections as one number for each subsequence."""
+        out = np.zeros(_LETTERS**ORDER, dtype=np.float32)
+        out[self.kinds] = (self.tables.T @ (self.whiten @ w))[1:]
+        return out
 
 
 # ---- the machine
@@ -205,35 +230,31 @@ def train_toxicity(docs: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Toxici
     common = Counter(w for s in clean for w in s if len(w) <= LONGEST and w not in telling)
     marks = telling[:LANDMARKS // 2]
     marks += sorted(common, key=lambda w: (-common[w], w))[:LANDMARKS - len(marks)]
-    tables = _as_table(marks)
-    value, vector = np.linalg.eigh((tables @ tables.T).astype(np.float64))
-    used = value > 1e-6 * value.max()
-    whiten = (vector[:, used] / np.sqrt(value[used])).astype(np.float32)
-
-    gapped = {g for w in telling for g in _gapped(w)}
-    words = sorted(gapped.union(*toxic, *clean))
-    index = {w: i for i, w in enumerate(words)}
-    kernel = against_tables(words, tables)
-    x = kernel @ whiten
-    sure, forgiven = {index[w] for w in telling}, {index[w] for w in gapped}
-    negative = np.array(sorted({index[w] for s in clean for w in s} - sure - forgiven))
-    bags_at = [np.array(sorted(index[w] for w in s)) for s in toxic]
-    in_clean = np.zeros(len(words), dtype=bool)
-    in_clean[negative] = True
-    positive = np.array(sorted(sure | forgiven))
+    landmarks = Landmarks(marks)
+
+    sure = set(telling) | {g for w in telling for g in _gapped(w)}
+    in_clean = set().union(*clean) - sure
+    negative = landmarks.project(sorted(in_clean, key=lambda w: (zlib.crc32(w.encode()), w))[:NEGATIVES])
+    positive = sorted(sure)
     for _ in range(ROUNDS):
-        w, b = _fit(x[positive], x[negative])
+        w, b = _fit(landmarks.project(positive), negative)
+        machine = ToxicityModel(landmarks.folded(w), b, 1.0, 0.0)
         # toxic texts without a telling word so far add their worst one, if the machine finds it toxic
-        scores = np.where(in_clean, -np.inf, x @ w + b)
-        more = {int(at[np.argmax(scores[at])]) for at in bags_at if not sure.intersection(at.tolist()) and scores[at].max() > 0}
-        if more <= set(positive.tolist()):
+        open_ = [words - in_clean for words in toxic if not words & sure]
+        worst = [_worst(sorted(words), machine) for words in open_ if words]
+        more = sorted(sure | {word for word, value in worst if value > 0})
+        if more == positive:
             break
-        positive = np.array(sorted(sure | forgiven | more))
-    values = kernel @ (whiten @ w) + b
-    table = tables.T @ (whiten @ w)
-    slope, middle = _calibrate(np.array([values[at].max() for at in bags_at]),
-                               np.array([max(values[index[v]] for v in s) for s in clean]))
-    return ToxicityModel(table.astype(np.float32), float(b), slope, middle)
+        positive = more
+    slope, middle = _calibrate(np.array([_worst(sorted(words), machine)[1] for words in toxic]),
+                               np.array([_worst(sorted(words), machine)[1] for words in clean]))
+    return ToxicityModel(machine.table, machine.offset, slope, middle)
+
+
+def _worst(words: list[str], machine: ToxicityModel) -> tuple[str, float]:
+    values = machine.word_values(words)
+    k = int(values.argmax())
+    return words[k], float(values[k])
 
 
 def _fit(positive: np.ndarray, negative: np.ndarray) -> tuple[np.ndarray, float]:

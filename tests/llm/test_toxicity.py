@@ -5,8 +5,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from postlens.llm.toxicity import DECAY, ORDER, against_tables, plain, score_toxicity, sentence_words, train_toxicity
-from postlens.llm.toxicity import _as_table
+from postlens.llm.toxicity import DECAY, ORDER, Landmarks, against_tables, plain, score_toxicity, sentence_words, train_toxicity
 
 
 def kernel(a: str, b: str) -> float:
@@ -25,10 +24,16 @@ def kernel(a: str, b: str) -> float:
 
 def test_kernel_by_tables():
     words = ["idiot", "idxiot", "loser", "closer", "banana", "réeux"]
-    found = against_tables(words, _as_table(words))
+    landmarks = Landmarks(words)
+    found = against_tables(words, landmarks.tables, landmarks.column)
     for i, a in enumerate(words):
         for j, b in enumerate(words):
             assert found[i, j] == pytest.approx(kernel(a, b), abs=1e-5)
+    # on the span of the landmarks, projections have the kernel as inner product, and folding changes nothing
+    x = landmarks.project(words)
+    assert x @ x.T == pytest.approx(found, abs=1e-4)
+    w = np.arange(x.shape[1], dtype=np.float32)
+    assert against_tables(words, landmarks.folded(w)[None])[:, 0] == pytest.approx(x @ w, abs=1e-3)
 
 
 @pytest.mark.parametrize("word, letters", [
