@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from postlens.llm.common import shuffle_width, staged
 from postlens.llm.components import components
 from postlens.llm.wordhash import chunks, hash_shingles, hash_words, mix
+from postlens.operators import likely_in, split_likely
 
 SIZE = 4
 PERCENT = 85
@@ -176,29 +177,34 @@ def _first_candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 def _other_candidates(members: DataFrame, percent: int) -> DataFrame:
     """All pairs of an n-gram's sets that are not in one component yet and may link."""
-    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gram, rows, seen = None, None, 0
+    def pairs(rows: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Each row with the one before it in its n-gram, the one before that, and so on."""
+        if not len(rows):
+            return
+        start = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0])))
+        behind = np.arange(len(rows)) - np.repeat(start, np.diff(np.append(start, len(rows))))
+        later, back = np.flatnonzero(behind > 0), 1
+        while len(later):
+            x, y = rows[later], rows[later - back]
+            link = (x[:, 4] != y[:, 4]) & _may_link(x[:, 3], x[:, 2], y[:, 3], y[:, 2], percent)
+            a, b = x[link, 1], y[link, 1]
+            if len(a):
+                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+            back += 1
+            later = later[behind[later] >= back]
+
+    def by_group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = None
         for batch in batches:
-            at = 0
             values = batch[["gram", "a", "pos", "size", "component"]].to_numpy()
-            for k in range(1, len(values) + 1):
-                if k < len(values) and values[k, 0] == values[at, 0]:
-                    continue
-                part, at = values[at:k], k
-                if part[0, 0] != gram:
-                    gram, rows, seen = part[0, 0], part, 0
-                else:
-                    seen, rows = len(rows), np.concatenate([rows, part])
-                found = []
-                for i in range(max(1, seen), len(rows)):
-                    x, y = rows[i], rows[:i]
-                    y = y[(y[:, 4] != x[4]) & _may_link(x[3], x[2], y[:, 3], y[:, 2], percent)]
-                    found.append(np.column_stack([np.minimum(y[:, 1], x[1]), np.maximum(y[:, 1], x[1])]))
-                if found:
-                    ab = np.concatenate(found)
-                    yield pd.DataFrame({"a": ab[:, 0], "b": ab[:, 1]})
+            rows = values if rows is None else np.concatenate([rows, values])
+            last = int(np.flatnonzero(rows[:, 0] != rows[-1, 0]).max(initial=-1)) + 1 if len(rows) else 0
+            yield from pairs(rows[:last])
+            rows = rows[last:]  # the last n-gram may go on
+        if rows is not None:
+            yield from pairs(rows)
 
-    return members.mapInPandas(pair, "a long, b long")
+    return members.mapInPandas(by_group, "a long, b long")
 
 
 # ---- verification by tries
@@ -355,7 +361,9 @@ def ngram_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT)
 def _fetch_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, sketch: object, size: int) -> DataFrame:
     """(node, grams) of these nodes, from the text of one document of each; frequent n-grams first, so tries share paths."""
     wanted = nodes.withColumnRenamed("a", "node").join(classes, "node").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"))
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id"))).select("text", F.col("__node").alias("node"))
+    likely = likely_in(docs, "doc_id", wanted.select("__id"))
+    # a merge join at every size: the rows to look up grow with the documents
+    texts = likely.hint("merge").join(wanted, F.col("doc_id").eqNullSafe(F.col("__id"))).select("text", F.col("__node").alias("node"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -371,14 +379,18 @@ def _fetch_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, sketch: o
 def first_of_each_component(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """The documents without near copies: of each component the row with the smallest id, all columns as they were.
 
-    Rows without a set and rows without an id all stay. Of rows that repeat the smallest
-    id of their component one stays, the first by the hash of its text.
+    Rows without a set and rows without an id all stay. Rows that repeat an id stay or go
+    together; of those with the same text one stays.
     """
-    ids = ngram_components(docs.where("doc_id IS NOT NULL"), size, percent).where("n_shingles > 0 AND doc_id = component_id")
-    ids = ids.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows"))
+    found = ngram_components(docs.where("doc_id IS NOT NULL"), size, percent).where("n_shingles > 0")
+    found = staged(found.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.count_if(F.col("doc_id") == F.col("component_id")).alias("__rows"), F.count("*").alias("__all")), "kept_ids")
+    # only documents that go or repeat an id are joined with what was found
+    joined, others = split_likely(docs, "doc_id", found.where("__rows = 0 OR __all > 1").select("__id"))
     words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col("doc_id").isNotNull()
-    kept = docs.where(words).join(ids, F.col("doc_id") == F.col("__id"))
+    kept = joined.where(words).join(found.where("__rows > 0"), F.col("doc_id") == F.col("__id"))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    repeated = (kept.where("__rows > 1").groupBy("__id").agg(F.min_by(F.struct(*names), F.xxhash64("text")).alias("__row"))
+    repeated = (kept.where("__all > 1").groupBy("__id", F.col("text").alias("__text")).agg(F.min(F.struct(*names)).alias("__row"))
                 .select("__row.*"))
-    return kept.where("__rows = 1").select(*names).unionByName(repeated).unionByName(docs.where(~words))
+    return (kept.where("__all = 1").select(*names).unionByName(repeated).unionByName(joined.where(~words))
+            .unionByName(others))
