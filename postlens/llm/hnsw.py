@@ -184,16 +184,36 @@ def _reached(graph: Graph, queries: np.ndarray, threshold: float, beam: int) ->
     return out
 
 
-def audited_links(graph: Graph, queries: np.ndarray, threshold: float, audit: np.ndarray) -> tuple[np.ndarray, int]:
-    """Candidate links of all queries, from beams as wide as it takes for the audited ones to find what brute force finds."""
-    truth = queries[audit] @ graph.vectors.T >= threshold - SLACK
+def _exact(graph: Graph, queries: np.ndarray, threshold: float) -> np.ndarray:
+    """The same from all products, a block of queries at a time."""
+    return np.concatenate([queries[at:at + TOGETHER] @ graph.vectors.T >= threshold - SLACK for at in range(0, len(queries), TOGETHER)])
+
+
+def _passes(found: np.ndarray, truth: np.ndarray) -> bool:
+    """Whether the mean recall over the queries that have links is enough, and in every class of queries with about as many."""
+    links = truth.sum(axis=1)
+    linked = links > 0
+    recall = (found & truth).sum(axis=1)[linked] / links[linked]
+    size = np.frexp(links[linked])[1]
+    return recall.mean() >= RECALL and all(recall[size == k].mean() >= RECALL for k in np.unique(size))
+
+
+def audited_links(graph: Graph, queries: np.ndarray, threshold: float, audit: np.ndarray, same: bool = False) -> tuple[np.ndarray, int]:
+    """Candidate links of all queries, from beams as wide as it takes for the audited ones to find what brute force finds.
+
+    same: the queries are the graph's own vectors, in order; that each finds itself doesn't count.
+    Where no beam passes, or the audited ones have no link to judge a beam by, all
+    products are formed; the beam is then the size of the graph.
+    """
+    truth = _exact(graph, queries[audit], threshold)
+    if same:
+        truth[np.arange(len(audit)), audit] = False
     beam = BEAM
-    while beam < len(graph.vectors):
-        found = _reached(graph, queries[audit], threshold, beam)
-        if (found & truth).sum() >= RECALL * truth.sum():
-            break
+    while truth.any() and beam < len(graph.vectors):
+        if _passes(_reached(graph, queries[audit], threshold, beam), truth):
+            return _reached(graph, queries, threshold, beam), beam
         beam *= 2
-    return _reached(graph, queries, threshold, beam), beam
+    return _exact(graph, queries, threshold), len(graph.vectors)
 
 
 def _verify(candidates: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
@@ -221,8 +241,9 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, shard
 
     Equal vectors of a label are one node with a count. The nodes of a label are dealt
     to shards; each shard gets a graph, and every vector of the label queries every
-    shard (a pair of shards once). A sample of each search is audited against brute force and beams
-    are widened until it passes. Double precision decides. A search sends on
+    shard (a pair of shards once). A sample of each search is audited against brute force, by
+    query and by size of group, and beams are widened until it passes; else all pairs of the two
+    shards are formed. Double precision decides. A search sends on
     how many links each node has and a forest of them, not the links.
     """
     id_type = vectors.schema["vec_id"].dataType.simpleString()
@@ -259,8 +280,8 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, shard
         exact, left_exact = (np.frombuffer(r[c], dtype=np.float64).reshape(-1, int(r["length"])) for c in ("vectors", "left_vectors"))
         graph, queries = Graph.load(unit(exact), r["levels"], r["links"], r["entry"]), unit(left_exact)
         audit = np.argsort(mix(left_ids.astype(np.uint64) + np.uint64(7)), kind="stable")[:max(AUDIT, int(AUDIT_SHARE * len(left_ids)))]
-        found, _ = audited_links(graph, queries, threshold, audit)
         same = r["left_shard"] == r["shard"]
+        found, _ = audited_links(graph, queries, threshold, audit, same)
         if same:
             found |= found.T
             np.fill_diagonal(found, False)

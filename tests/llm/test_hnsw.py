@@ -57,5 +57,34 @@ def test_beams_widen_until_a_large_cluster_is_found():
     assert (found & truth).sum() >= 0.99 * truth.sum()
 
 
+def test_a_large_group_does_not_hide_missed_pairs():
+    """A graph that lost the way to small groups passes no audit, whatever share of all links it finds."""
+    rng = np.random.default_rng(9)
+    group = rng.normal(size=24) + rng.normal(scale=0.05, size=(800, 24))
+    left = rng.normal(size=(60, 24))
+    v = unit(np.concatenate([group, left, left + rng.normal(scale=0.02, size=left.shape)]))
+    graph = Graph.build(v, np.arange(len(v)))
+    for table in graph.links:
+        table[800:] = -1
+        table[table >= 800] = -1
+    graph.nodes[-1] = np.array([0, *graph.nodes[-1]])
+    truth = v @ v.T >= 0.93
+    found, _ = audited_links(graph, v, 0.93, np.arange(0, len(v), 5), same=True)
+    assert (found & truth).sum() == truth.sum()
+
+
+def test_links_that_the_sample_lacks_are_found():
+    rng = np.random.default_rng(10)
+    v = rng.normal(size=(300, 24))
+    v[299] = v[298] + 0.01
+    v = unit(v)
+    graph = Graph.build(v, np.arange(len(v)))
+    for table in graph.links:
+        table[298:] = -1
+        table[table >= 298] = -1
+    found, _ = audited_links(graph, v, 0.93, np.arange(0, 290, 10), same=True)
+    assert found[298, 299] and found[299, 298]
+
+
 def test_no_rows(spark):
     assert embedding_components(spark.createDataFrame([], SCHEMA)).count() == 0
