@@ -134,13 +134,13 @@ def train_language_id(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE,
     first by a seeded hash of the id, so reruns agree; equal texts count each. Without
     labelled rows the model has no languages and all texts are undetermined.
     """
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn(
+    labelled = docs.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).withColumn(
         "__order", F.xxhash64(F.lit(CODE_SEED), "doc_id"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("__order"))
     first = labelled.select("lang", "__order").withColumn("__rank", rank).where(F.col("__rank") <= per_language)
     chosen = first.orderBy("__rank", "lang").limit(most).select("lang", "__order").distinct()
     # at most ``most`` rows
-    texts = labelled.join(F.broadcast(chosen), ["lang", "__order"]).where(has_letter(F.col("text"))).select("lang", "text").limit(most)
+    texts = labelled.join(F.broadcast(chosen), ["lang", "__order"]).select("lang", "text").limit(most)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

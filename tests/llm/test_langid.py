@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from postlens.llm.langid import UNDETERMINED, codewords, identify_language, train_language_id
 
 SCHEMA = "doc_id long, text string, lang string, `__lang` string"
@@ -41,3 +42,22 @@ def test_odd_rows(spark):
     empty = docs.limit(0)
     assert identify_language(empty, train_language_id(empty)).count() == 0
     assert {r["__lang"] for r in identify_language(docs, train_language_id(empty)).collect()} == {UNDETERMINED}
+
+
+def test_blank_texts_take_no_place_in_the_sample(spark):
+    rows = [(i, "-- 12 --", "en") for i in range(200)] + [(900, "the cat and the dog", "en"), (901, "der Hund und die Katze", "de")]
+    model = train_language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=2)
+    assert model.languages == ("de", "en")
+
+
+def test_stage_keeps_texts_where_no_language_is_known(spark):
+    rows = [(1, "the cat and the dog", None), (2, "12 34", None), (3, None, None), (4, "der Hund", None), (5, "12", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {tuple(r) for r in corpus_pipeline.identified(spark, docs, "").collect()} == {rows[0], rows[3]}
+
+
+def test_stage_drops_ambiguous_texts_and_no_clean_ones(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    odd = [(-1, "ภาษาไทยเป็นภาษาที่มี " * 9, None), (-2, "Η γλώσσα είναι ένα σύστημα επικοινωνίας " * 5, None), (-3, "12 34", None)]
+    kept = corpus_pipeline.identified(spark, docs.unionByName(spark.createDataFrame(odd, docs.schema)), "")
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()}
