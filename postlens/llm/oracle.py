@@ -101,3 +101,28 @@ SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(m
 FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
 LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON m.a = e.vec_id
 """
+
+#: crc32 has no function here, so it is computed from its polynomial, byte by byte, over the whole text.
+SHARDING = r"""
+WITH RECURSIVE steps(i, c, k) AS (
+  SELECT i::BIGINT, i::BIGINT, 0 FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+texts AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+bytes AS (
+  SELECT text, list_transform(range(strlen(text)::BIGINT), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b
+  FROM (SELECT text, hex(encode(text)) AS h FROM texts)),
+sums AS (
+  SELECT text, xor(list_reduce(list_prepend(4294967295, b), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295)::BIGINT AS text_crc32
+  FROM bytes, crc),
+bids AS (
+  SELECT doc_id, k, -1 / ln((('0x' || substr(md5(key || '@' || k), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) AS bid
+  FROM (SELECT DISTINCT doc_id, coalesce(length(doc_id::VARCHAR) || ':' || doc_id, '-') AS key FROM documents), range(9) t(k)),
+best AS (
+  SELECT doc_id, arg_max(k, bid) FILTER (k < 8) AS shard, arg_max(k, bid) AS grown_shard FROM bids GROUP BY doc_id)
+SELECT d.doc_id, strlen(coalesce(d.text, '')) + 1 AS size, s.text_crc32, 'key' AS law, b.shard::INT AS shard, b.grown_shard::INT AS grown_shard,
+       row_number() OVER (PARTITION BY b.shard
+         ORDER BY substr(md5(coalesce(length(d.doc_id::VARCHAR) || ':' || d.doc_id, '-') || '@-1'), 1, 13), d.doc_id NULLS FIRST, s.text_crc32, strlen(coalesce(d.text, ''))) - 1 AS slot
+FROM documents d JOIN best b ON d.doc_id IS NOT DISTINCT FROM b.doc_id JOIN sums s ON s.text = coalesce(d.text, '')
+"""
