@@ -126,3 +126,40 @@ SELECT d.doc_id, strlen(coalesce(d.text, '')) + 1 AS size, s.text_crc32, 'key' A
          ORDER BY substr(md5(coalesce(length(d.doc_id::VARCHAR) || ':' || d.doc_id, '-') || '@-1'), 1, 13), d.doc_id NULLS FIRST, s.text_crc32, strlen(coalesce(d.text, ''))) - 1 AS slot
 FROM documents d JOIN best b ON d.doc_id IS NOT DISTINCT FROM b.doc_id JOIN sums s ON s.text = coalesce(d.text, '')
 """
+
+SOURCE_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+words AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+found AS (SELECT lang, source, term, count(*) AS c FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(f.c, 0) AS c
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term),
+p AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER (PARTITION BY lang, source) + v) AS p
+  FROM cells JOIN sizes USING (lang)),
+q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER (PARTITION BY lang) + v) AS q
+  FROM (SELECT lang, term, sum(c) AS c FROM cells GROUP BY lang, term) JOIN sizes USING (lang)),
+summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, (p.p - q.q) * (p.p - q.q) // q.q
+  FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.c > 0 AND p.p > q.q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 200
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, hnsw, kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages, sharding, toxicity
+from postlens.llm import chat, hnsw, kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages, sharding, source_audit, toxicity
 from postlens.llm.common import id_remainder, table
 
 #: The vocabulary file that the queries use; operators take the path as a parameter.
@@ -76,6 +76,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -91,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_source_divergence": op11_source_divergence,
     "op12_sharding": op12_sharding,
 }
 
@@ -99,5 +104,6 @@ ORACLE: dict[str, str] = {
     "op5_line_rules": oracle.LINE_RULES,
     "op6_ngram_join": oracle.NGRAM_JOIN,
     "op7_source_mixing": oracle.SOURCE_MIXING,
+    "op11_source_divergence": oracle.SOURCE_DIVERGENCE,
     "op12_sharding": oracle.SHARDING,
 }
