@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import chat, hnsw, kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages, sharding, source_audit, toxicity
+from postlens.llm import alignment, chat, hnsw, kneser_ney, langid, line_rules, mixing, ngram_join, oracle, packing, passages, sharding, source_audit, toxicity
 from postlens.llm.common import id_remainder, table
 
 #: The vocabulary file that the queries use; operators take the path as a parameter.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +85,10 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_lm_scoring": op2_lm_scoring,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_source_divergence": op11_source_divergence,
     "op12_sharding": op12_sharding,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLE: dict[str, str] = {

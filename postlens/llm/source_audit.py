@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlens.llm.batches import text_slices
 from postlens.llm.common import staged
 
 #: What stands between terms: ASCII other than letters.
@@ -28,16 +29,6 @@ CELLS, PAIRS = 400_000, 250_000
 _COUNTS = "lang string, source string, term string, n long, docs long"
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64))
-    start = 0
-    while start < batch.num_rows:
-        done = int(ends[start - 1]) if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
-        yield batch.slice(start, stop - start)
-        start = stop
-
-
 def _sums(counts: pa.Table) -> pa.Table:
     keys = ["lang", "source", "term"]
     summed = counts.group_by(keys, use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
@@ -69,7 +60,7 @@ def _counted(rows: pa.RecordBatch) -> pa.Table:
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pending: list[pa.Table] = []
     for batch in batches:
-        for rows in _slices(batch):
+        for rows in text_slices(batch, SLICE_BYTES):
             pending.append(_counted(rows))
             if sum(map(len, pending)) > PENDING_ROWS:
                 pending = [_sums(pa.concat_tables(pending))]
