@@ -91,7 +91,9 @@ _STEPS["m01"] = (
 )
 _STEPS["m02_daily"] = (
     "SELECT * FROM m01 QUALIFY row_number() OVER (PARTITION BY post_id, ingest_date ORDER BY _ingested_at DESC NULLS LAST, "
-    + ", ".join(f"{c} NULLS FIRST" for c in [*TEXTS, *LONGS, *DOUBLES, "region"] if c != "post_id")
+    + " + ".join(f"({c} IS NULL)::INT" for c in LONGS)
+    + ", "
+    + ", ".join(f"{c} NULLS LAST" for c in [*TEXTS, *LONGS, *DOUBLES, "region"] if c != "post_id")
     + ") = 1"
 )
 _STEPS["m02"] = (

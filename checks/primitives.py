@@ -5,6 +5,7 @@ Names start with the operator's number in the inventory.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
@@ -49,6 +50,8 @@ from postlens.functions import (
 )
 from postlens.operators import (
     date_spine,
+    exact_sum,
+    fill_days,
     keep_latest,
     link_pairs,
     long_pairs,
@@ -410,10 +413,8 @@ _EVENT_DAYS = "SELECT ts::DATE AS day, event_type, count(*) AS events FROM event
 ), {"days": "SELECT o_orderdate::DATE AS day, o_orderstatus, count(*) AS orders FROM orders GROUP BY ALL"})
 def spine_fill(spark: Spark, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
-    days = orders.groupBy("day", "o_orderstatus").agg(F.count("*").alias("orders"))
-    return date_spine(days, ["o_orderstatus"], "day").join(days, ["day", "o_orderstatus"], "left").select(
-        "day", "o_orderstatus", *zero_fill(["orders"])
-    )
+    days = stage(orders.groupBy("day", "o_orderstatus").agg(F.count("*").alias("orders")), "days")
+    return fill_days(days, ["o_orderstatus"], "day").select("day", "o_orderstatus", *zero_fill(["orders"]))
 
 
 def _event_days(spark: Spark, sf: str) -> DataFrame:
@@ -464,6 +465,14 @@ def agg_sum(spark: Spark, sf: str) -> DataFrame:
     )
 
 
+@query("a01_exact_sum", (
+    "SELECT l_returnflag, l_linestatus, sum((l_extendedprice * (1 - l_discount))::DECIMAL(31, 16))::DOUBLE AS revenue FROM lineitem GROUP BY ALL"
+))
+def sum_of_doubles(spark: Spark, sf: str) -> DataFrame:
+    items = table(spark, sf, "lineitem")
+    return items.groupBy("l_returnflag", "l_linestatus").agg(exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
+
+
 @query("a02_count", "SELECT l_suppkey, count(*) AS items FROM lineitem GROUP BY ALL")
 def agg_count(spark: Spark, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("items"))
@@ -478,6 +487,15 @@ def agg_distinct(spark: Spark, sf: str) -> DataFrame:
     )
 
 
+@query("a03_posts_in_range", (
+    "SELECT network, pauta, count(DISTINCT post_id) AS posts FROM own WHERE published_date BETWEEN DATE '2023-10-10' AND DATE '2023-12-20' GROUP BY ALL"
+))
+def posts_in_range(spark: Spark, sf: str) -> DataFrame:
+    """Different posts of a range from stored bitmaps of its days."""
+    days = content.content_posts(staged_content(spark, sf))
+    return content.posts_in_range(stage(days, "content_posts"), ["network", "pauta"], dt.date(2023, 10, 10), dt.date(2023, 12, 20))
+
+
 @query("a04_average", "SELECT network, avg(reach) AS avg_reach, avg(engagement) AS avg_engagement FROM m01 GROUP BY ALL")
 def agg_average(spark: Spark, sf: str) -> DataFrame:
     return raw(spark, sf).groupBy("network").agg(F.avg("reach").alias("avg_reach"), F.avg("engagement").alias("avg_engagement"))
@@ -581,9 +599,7 @@ def agg_mixed(spark: Spark, sf: str) -> DataFrame:
 
 @query("w01_latest_record", "SELECT post_id, ingest_date, _ingested_at, likes, reach FROM m02_daily")
 def latest_record(spark: Spark, sf: str) -> DataFrame:
-    return keep_latest(raw(spark, sf), ["post_id", "ingest_date"], "_ingested_at").select(
-        "post_id", "ingest_date", "_ingested_at", "likes", "reach"
-    )
+    return posts.latest_records(raw(spark, sf)).select("post_id", "ingest_date", "_ingested_at", "likes", "reach")
 
 
 @query("w02_latest_snapshot", "SELECT post_id, fact_date, likes, likes_delta FROM m03")
@@ -597,7 +613,7 @@ def latest_snapshot(spark: Spark, sf: str) -> DataFrame:
     "SELECT post_id, ingest_date, prev_ingest_date, " + ", ".join(f"{c}_delta" for c in DELTA_COUNTERS) + " FROM m02"
 ))
 def previous_values(spark: Spark, sf: str) -> DataFrame:
-    daily = keep_latest(raw(spark, sf), ["post_id", "ingest_date"], "_ingested_at")
+    daily = posts.latest_records(raw(spark, sf))
     return with_deltas(daily, "post_id", "ingest_date", DELTA_COUNTERS).select(
         "post_id", "ingest_date", "prev_ingest_date", *[f"{c}_delta" for c in DELTA_COUNTERS]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.kpis import safe_divide
@@ -36,6 +36,25 @@ def date_spine(df: DataFrame, dims: Sequence[str], day: str) -> DataFrame:
     return combos.select(F.explode(F.sequence(first, last)).alias(day), *dims)
 
 
+def fill_days(df: DataFrame, dims: Sequence[str], day: str) -> DataFrame:
+    """``df`` with a row for every day between its first and last one in every combination of ``dims``; the other columns are NULL there.
+
+    Expects one row per combination and day. Each row finds the next day of its
+    combination in a window and stands for the days up to it, so only the missing days are made and
+    nothing is joined. The first row also stands for the days before it, from the first day of all.
+    """
+    first, last = df.agg(F.min(day)).scalar(), df.agg(F.max(day)).scalar()
+    by_day = Window.partitionBy(*dims).orderBy(day)
+    rows = df.withColumns({"__head": F.lag(day).over(by_day).isNull(), "__next": F.lead(day).over(by_day)})
+    start = F.when(F.col("__head"), first).otherwise(F.col(day))
+    end = F.when(F.col("__next").isNull(), last).otherwise(F.date_sub("__next", 1))
+    filled = rows.withColumn("__day", F.explode(F.sequence(start, end)))
+    own = F.col("__day") == F.col(day)
+    return filled.select(*[
+        F.col("__day").alias(c) if c == day else F.col(f"`{c}`") if c in dims else F.when(own, F.col(f"`{c}`")).alias(c) for c in df.columns
+    ])
+
+
 def zero_fill(columns: Sequence[str]) -> list[Column]:
     return [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in columns]
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,17 +12,20 @@ from pyspark.sql import functions as F
 _RANK = "__rank"
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], newest: str, ties: bool = True) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str], newest: str, ties: bool = True, whole: Sequence[str] = ()) -> DataFrame:
     """One row per key: the one with the greatest ``newest``.
 
-    Ties fall to the other columns in turn, least first and NULL before all, so
-    only rows that are equal throughout are interchangeable and a re-run task picks
-    the same one; pass ``ties=False`` where (keys, newest) is unique. Spark keeps the
-    best row of each key before the shuffle too, so many copies of one key do not travel.
+    Among ties the row with the fewest NULLs in ``whole`` wins, so a record that was sent
+    again with a hole never replaces the whole one. What is left falls to the other columns in
+    turn, least first and NULL last, so only rows that are equal throughout are interchangeable
+    and a re-run task picks the same one; pass ``ties=False`` where (keys, newest) is unique. Spark
+    keeps the best row of each key before the shuffle too, so many copies of one key do not travel.
     """
     order = [F.col(newest).desc_nulls_last()]
     if ties:
-        order += [F.col(c).asc_nulls_first() for c in df.columns if c not in {*keys, newest}]
+        if whole:
+            order.append(reduce(add, [F.col(c).isNull().cast("int") for c in whole]).asc())
+        order += [F.col(c).asc_nulls_last() for c in df.columns if c not in {*keys, newest}]
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 

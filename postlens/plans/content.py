@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from postlens.functions import (
     safe_double,
     safe_long,
 )
-from postlens.operators import date_spine, link_pairs, zero_fill
+from postlens.operators import distinct_bitmaps, distinct_counts, fill_days, link_pairs, numbered, zero_fill
 from postlens.plans.posts import PERFORMANCE_COLUMNS
 from postlens.settings import Settings
 from postlens.sources.session import stage
@@ -266,11 +267,11 @@ def format_performance(content: DataFrame) -> DataFrame:
 def content_timeseries(content: DataFrame, keep: Keep = stage) -> DataFrame:
     """Gap-free daily series by publishing day for each existing combination.
 
-    The daily totals are staged: combinations, bounds and values all come from them,
-    so the content is read once.
+    The daily totals are staged: bounds and values come from them, so the content is
+    read once, and the missing days are made beside them without a join.
 
     Days without posts have zero counts and NULL rates. A combination with a NULL
-    network or region meets no totals in the join and is zero on every day.
+    network or region is zero on every day.
     """
     day, dims = "published_date", ["network", "region", "market", "pauta"]
     own = (
@@ -281,10 +282,39 @@ def content_timeseries(content: DataFrame, keep: Keep = stage) -> DataFrame:
         F.count_distinct("post_id").alias("posts"), *[F.sum(c).alias(c) for c in COUNTED]
     )
     totals = keep(totals, "daily_totals")
-    return date_spine(totals, dims, day).join(totals, [day, *dims], "left").select(
+    known = F.col("network").isNotNull() & F.col("region").isNotNull()
+    values = totals.select(day, *dims, *[F.when(known, F.col(c)).alias(c) for c in ["posts", *COUNTED]])
+    return fill_days(values, dims, day).select(
         day, *dims,
         *zero_fill(["posts", *COUNTED]),
         (F.coalesce("shares", F.lit(0)) + F.coalesce("saves", F.lit(0))).alias("shares_saves"),
         safe_divide("engagement", "reach").alias("engagement_rate"),
         safe_divide("views", "reach").alias("frequency"),
     )
+
+
+# What a day's posts are told apart by in the bitmaps that a range adds up.
+POST_KEYS = ["published_date", "network", "region", "market", "pauta"]
+
+
+def content_posts(content: DataFrame, keep: Keep = stage) -> DataFrame:
+    """(day, network, region, market, pauta, bucket, bits): the posts behind the daily series, as bitmaps that add up.
+
+    Posts are numbered by their publishing day, so a day's bitmaps are few.
+    """
+    own = (
+        own_content(content.where(F.col("published_date").isNotNull()))
+        .withColumn("market", F.coalesce("market", F.lit("sin_market")))
+        .select(*POST_KEYS, "post_id")
+    )
+    own = keep(own, "own_posts")
+    return distinct_bitmaps(own, POST_KEYS, "post_id", numbered(own, "post_id", "published_date", keep))
+
+
+def posts_in_range(posts: DataFrame, by: Sequence[str], first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """Different posts that were published in a range, by any of the keys; only the stored bitmaps are read."""
+    if first is not None:
+        posts = posts.where(F.col("published_date") >= F.lit(first))
+    if last is not None:
+        posts = posts.where(F.col("published_date") <= F.lit(last))
+    return distinct_counts(posts, by, "posts")

@@ -28,8 +28,8 @@ PERFORMANCE_COLUMNS = [
 ]
 
 
-def post_metrics_raw(landed: DataFrame) -> DataFrame:
-    """Typed copy of the landed records; nothing is dropped."""
+def post_metrics_raw(landed: DataFrame, *also: str) -> DataFrame:
+    """Typed copy of the landed records, with the columns ``also`` as they are; nothing is dropped."""
     return landed.select(
         *IDENTITY,
         *POST_FIELDS,
@@ -38,9 +38,15 @@ def post_metrics_raw(landed: DataFrame) -> DataFrame:
         "region",
         F.col("dt").alias("ingest_date"),
         F.col("_ingested_at").cast("timestamp").alias("_ingested_at"),
+        *also,
     )
 
 
+def latest_records(raw: DataFrame) -> DataFrame:
+    """The newest record of each post and day; of those sent at the same moment the one that lacks the fewest counters."""
+    return keep_latest(raw, ["post_id", "ingest_date"], "_ingested_at", whole=COUNTERS)
+
+
 def post_metrics(raw: DataFrame, settings: Settings) -> DataFrame:
     """One row per (post, day) with gains since the post's previous snapshot."""
     return post_series(raw, settings).drop(NEWEST)
@@ -53,7 +59,7 @@ def post_series(raw: DataFrame, settings: Settings) -> DataFrame:
     groups are bounded by the number of days, however often a post was sent. The
     mark comes from that same window and saves readers from finding the row again.
     """
-    daily = keep_latest(raw, ["post_id", "ingest_date"], "_ingested_at")
+    daily = latest_records(raw)
     next_day = F.lead("ingest_date").over(Window.partitionBy("post_id").orderBy("ingest_date"))
     series = with_deltas(daily, "post_id", "ingest_date", DELTA_COUNTERS).withColumn(NEWEST, next_day.isNull())
     return series.select(

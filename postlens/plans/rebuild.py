@@ -3,8 +3,9 @@
 No table is kept up incrementally: each run writes all of them anew, so a record that
 arrives late or twice needs no special case. A run has its own folder, and only a run
 that has ended is entered in the region's list of runs, so until then, and if it fails,
-readers see the run before. Regions do not share keys; each is rebuilt from its own
-sources into its own folder.
+readers see the run before. Old runs go unless a reader holds them; what a run stages goes
+when it ends. Regions do not share keys; each is rebuilt from its own sources into its own
+folder, and several at the same time.
 """
 
 from __future__ import annotations
@@ -12,25 +13,42 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.plans import brand, content, posts, scorecard
 from postlens.settings import Settings
-from postlens.sources import TABLE_LAYOUTS, create_view, read_table, size_shuffles, stage, with_load_time, write_table
-
-# The source tables a region needs. ``rejected_lines`` is optional.
+from postlens.sources import (
+    BROKEN,
+    LANDED,
+    OWN_LAYOUTS,
+    READABLE,
+    REJECTED,
+    TABLE_LAYOUTS,
+    Hold,
+    create_view,
+    finish_run,
+    hold_latest,
+    input_bytes,
+    read_landed_part,
+    read_table,
+    retire_runs,
+    schemas_of,
+    size_shuffles,
+    staging,
+    with_load_time,
+    write_landed,
+    write_table,
+)
+from postlens.sources.runs import HOLD_HOURS, KEPT_RUNS
+
+# The source tables a region needs.
 SOURCES = ["post_metrics", "register", "paid", "targets", "listening", "competitors", "sponsors"]
 
-REJECTED = "rejected_lines"
-_RUNS = T.StructType([
-    T.StructField("run", T.StringType()),
-    T.StructField("finished_at", T.TimestampType()),
-    T.StructField("schemas", T.MapType(T.StringType(), T.StringType())),
-])
-
 
 def _as_is(df: DataFrame, name: str) -> DataFrame:
     return df
@@ -53,81 +71,118 @@ def region_views(performance: DataFrame, sources: Mapping[str, DataFrame], setti
     }
 
 
-def rebuild(sources: Mapping[str, DataFrame], out: str, settings: Settings) -> dict[str, DataFrame]:
+class OpenTables(dict[str, DataFrame]):
+    """Tables of a run by name. They stay readable until ``hold`` is released or its time is over."""
+
+    hold: Hold
+
+
+def rebuild(sources: Mapping[str, DataFrame], out: str, settings: Settings, keep_runs: int = KEPT_RUNS) -> dict[str, DataFrame]:
     """Write the tables of a new run under ``out/<region>`` and return tables and views by name.
 
-    Each model reads the written tables of the models before it. The matched
-    content is a view, but three marts read it, so it is staged for the run.
-    Shuffles are sized by the landed metrics for the run.
+    Each model reads the written tables of the models before it. The landed lines are
+    scanned once. The matched content is a view, but marts read it, so it is staged until the
+    run ends. Shuffles are sized by the landed metrics for the run. Afterwards all runs but the
+    newest ``keep_runs`` and those that readers hold are removed.
     """
     spark = sources["register"].sparkSession
-    run = uuid.uuid4().hex
-    folder = f"{out}/{settings.region}/{run}"
-    built: dict[str, DataFrame] = {}
     before = spark.conf.get("spark.sql.shuffle.partitions")
     size_shuffles(sources["post_metrics"])
+    try:
+        return _rebuild(spark, sources, out, settings, keep_runs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
-    def table(name: str, df: DataFrame, gather: bool = True) -> DataFrame:
-        partition, cluster = (TABLE_LAYOUTS | {REJECTED: ("dt", [])})[name]
-        write_table(df, f"{folder}/{name}", partition, cluster, gather)
+
+def _rebuild(spark: SparkSession, sources: Mapping[str, DataFrame], out: str, settings: Settings, keep_runs: int) -> dict[str, DataFrame]:
+    run, region = uuid.uuid4().hex, f"{out}/{settings.region}"
+    folder = f"{region}/{run}"
+    built: dict[str, DataFrame] = {}
+
+    def table(name: str, df: DataFrame) -> DataFrame:
+        write_table(df, f"{folder}/{name}", *(TABLE_LAYOUTS | OWN_LAYOUTS)[name])
         built[name] = read_table(spark, f"{folder}/{name}", df.schema)
         return built[name]
 
-    try:
-        if REJECTED in sources:
-            table(REJECTED, sources[REJECTED])
-        # landed files already lie by day
-        raw = table("post_metrics_raw", posts.post_metrics_raw(sources["post_metrics"]), gather=False)
+    lines = sources["post_metrics"]
+    if BROKEN not in lines.columns:
+        lines = lines.withColumn(BROKEN, F.lit(None).cast("string"))
+    landed = posts.post_metrics_raw(lines, BROKEN)
+    write_landed(landed, BROKEN, f"{folder}/{LANDED}", TABLE_LAYOUTS[READABLE][1])
+    for part in (READABLE, REJECTED):
+        built[part] = read_landed_part(spark, f"{folder}/{LANDED}", landed.drop(BROKEN).schema, part)
+    raw = built[READABLE]
+
+    with staging(spark, f"rebuild-{run}") as keep:
         metrics = table("post_metrics", with_load_time(posts.post_series(raw, settings)))
         performance = table("dm_post_performance", posts.post_performance(metrics, settings))
         table("dm_platform_summary", posts.platform_summary(metrics, settings))
 
         built |= region_views(performance, sources, settings)
-        matches = content.key_matches(performance, sources["register"], sources["paid"], settings)
-        matched = stage(
-            content.match_content(sources["register"], sources["paid"], performance, settings, matches), "dm_match_content"
+        matches = content.key_matches(performance, sources["register"], sources["paid"], settings, keep)
+        matched = keep(
+            content.match_content(sources["register"], sources["paid"], performance, settings, matches, keep), "dm_match_content"
         )
         table("dm_format_performance", content.format_performance(matched))
-        table("dm_content_timeseries", content.content_timeseries(matched))
+        table("dm_content_timeseries", content.content_timeseries(matched, keep))
+        table("dm_content_posts", content.content_posts(matched, keep))
         targets = table("kpi_targets", scorecard.kpi_targets(sources["targets"], settings.brand_targets))
         table("dm_executive_scorecard", scorecard.executive_scorecard(
-            matched, targets, built["dm_listening"], built["dm_sov"], settings
+            matched, targets, built["dm_listening"], built["dm_sov"], settings, keep
         ))
-        _finish(spark, f"{out}/{settings.region}", run, {n: built[n].schema.json() for n in [*TABLE_LAYOUTS, REJECTED] if n in built})
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    finish_run(spark, region, run, {n: built[n].schema.json() for n in TABLE_LAYOUTS | OWN_LAYOUTS})
+    retire_runs(spark, region, keep_runs)
     return built
 
 
-def _finish(spark: SparkSession, region: str, run: str, schemas: dict[str, str]) -> None:
-    """Enter a run that has ended. The list only grows, by one row in a file of its own."""
-    row = spark.createDataFrame([(run, None, schemas)], _RUNS).withColumn("finished_at", F.current_timestamp())
-    row.coalesce(1).write.mode("append").parquet(f"{region}/runs")
+def latest_tables(spark: SparkSession, region: str, hold_hours: float = HOLD_HOURS) -> OpenTables:
+    """The tables of the last run that has ended, with the schemas they were written with, held for so many hours."""
+    run, hold = hold_latest(spark, region, hold_hours)
+    schemas = {name: T.StructType.fromJson(json.loads(s)) for name, s in schemas_of(spark, region, run).items()}
+    tables = OpenTables({part: read_landed_part(spark, f"{region}/{run}/{LANDED}", schemas[READABLE], part) for part in (READABLE, REJECTED)})
+    tables |= {name: read_table(spark, f"{region}/{run}/{name}", schema) for name, schema in schemas.items() if name != READABLE}
+    tables.hold = hold
+    return tables
 
 
-def latest_tables(spark: SparkSession, region: str) -> dict[str, DataFrame]:
-    """The tables of the last run that has ended, with the schemas they were written with."""
-    last = spark.read.schema(_RUNS).parquet(f"{region}/runs").orderBy(F.desc("finished_at"), "run").first()
-    if last is None:
-        raise ValueError(f"no run of {region} has ended")
-    return {
-        name: read_table(spark, f"{region}/{last['run']}/{name}", T.StructType.fromJson(json.loads(schema)))
-        for name, schema in last["schemas"].items()
-    }
-
+def open_region(sources: Mapping[str, DataFrame], out: str, settings: Settings, hold_hours: float = HOLD_HOURS) -> OpenTables:
+    """Tables of the last rebuild, with the views computed from the sources as they are now.
 
-def open_region(sources: Mapping[str, DataFrame], out: str, settings: Settings) -> dict[str, DataFrame]:
-    """Tables of the last rebuild, with the views computed from the sources as they are now."""
+    Later rebuilds leave the run alone until ``hold.release()`` is called or the hours are over.
+    """
     spark = sources["register"].sparkSession
-    tables = latest_tables(spark, f"{out}/{settings.region}")
-    return tables | region_views(tables["dm_post_performance"], sources, settings)
+    tables = latest_tables(spark, f"{out}/{settings.region}", hold_hours)
+    tables |= region_views(tables["dm_post_performance"], sources, settings)
+    return tables
 
 
 def rebuild_regions(
-    sources: Mapping[str, Mapping[str, DataFrame]], out: str, settings: Mapping[str, Settings]
+    sources: Mapping[str, Mapping[str, DataFrame]], out: str, settings: Mapping[str, Settings], keep_runs: int = KEPT_RUNS
 ) -> dict[str, dict[str, DataFrame]]:
-    """Rebuild every region that has settings."""
-    return {region: rebuild(sources[region], out, chosen) for region, chosen in settings.items()}
+    """Rebuild every region that has settings, all at the same time.
+
+    Each region has a thread and a pool of the scheduler, so small regions don't wait
+    for a large one. Shuffles are sized for the largest of them. A region that fails leaves the
+    others alone: they end, and what failed is raised together afterwards.
+    """
+    if not settings:
+        return {}
+    spark = next(iter(sources.values()))["register"].sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_shuffles(max((sources[region]["post_metrics"] for region in settings), key=input_bytes))
+
+    def build(region: str) -> dict[str, DataFrame]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", region)
+        return _rebuild(spark, sources[region], out, settings[region], keep_runs)
+
+    try:
+        with ThreadPoolExecutor(len(settings)) as pool:
+            running = {region: pool.submit(inheritable_thread_target(spark)(build), region) for region in settings}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    if failed := [e for f in running.values() if (e := f.exception())]:
+        raise ExceptionGroup("regions that failed", failed)
+    return {region: f.result() for region, f in running.items()}
 
 
 def publish_views(built: Mapping[str, DataFrame], prefix: str = "") -> list[str]:

@@ -16,7 +16,7 @@ from postlens.fixed_values import (
     TARGET_PAUTAS,
 )
 from postlens.functions import clean_number, is_blank, safe_divide, safe_double, trim_all, within_limit
-from postlens.operators import long_pairs
+from postlens.operators import exact_avg, exact_sum, long_pairs
 from postlens.plans.content import Keep, own_content
 from postlens.settings import Settings
 from postlens.sources.session import stage
@@ -31,6 +31,8 @@ AVERAGED_PERCENT = {"vtr": "vtr50", "er": "engagement_rate", "shares_rate": "sha
 
 TOTAL = "total"
 SUMS = ["views", "reach", "video_views", "comments", "likes", "shares", "saves", "engagement", "vtr_50"]
+# Of these the sums of rates, which are doubles; counters are whole numbers.
+RATE_SUMS = {"vtr_50"}
 # Sums of the cells, and with them the number of rates and of posts behind them.
 CELL_SUMS = [*SUMS, "rated", "posts"]
 
@@ -63,7 +65,7 @@ def kpi_targets(raw: DataFrame, brand_targets: Sequence[tuple] = BRAND_METRICS)
     rolled = (
         clean.where(F.col("market") != TOTAL)
         .groupBy("market", "pauta")
-        .agg(*[(F.sum(m) if m in ADDITIVE else F.avg(m)).alias(m) for m in metrics])
+        .agg(*[(exact_sum(m) if m in ADDITIVE else exact_avg(m)).alias(m) for m in metrics])
     )
     totals = clean.where(F.col("market") == TOTAL).select("market", "pauta", *metrics)
     long = rolled.unionByName(totals).unpivot(["market", "pauta"], metrics, "metric_col", "target_value")
@@ -87,7 +89,7 @@ def content_cells(content: DataFrame) -> DataFrame:
         own_content(content.where(F.col("published_date").isNotNull()))
         .groupBy("published_date", "network", "market", "pauta")
         .agg(
-            *[F.sum(c).alias(c) for c in SUMS],
+            *[(exact_sum(c) if c in RATE_SUMS else F.sum(c)).alias(c) for c in SUMS],
             F.count("vtr_50").alias("rated"),
             F.count("*").alias("posts"),
         )
@@ -107,7 +109,7 @@ def rollup_cells(cells: DataFrame) -> DataFrame:
     ).agg(
         F.grouping("market").alias("all_markets"),
         F.grouping("pauta").alias("all_pautas"),
-        *[F.sum(c).cast("double").alias(c) for c in CELL_SUMS],
+        *[(exact_sum(c) if c in RATE_SUMS else F.sum(c).cast("double")).alias(c) for c in CELL_SUMS],
     )
     return rolled.select(
         "published_date", "network",
@@ -188,7 +190,8 @@ def trend(cells: DataFrame, settings: Settings) -> DataFrame:
     period = F.when(age < days, "last").when((age < 2 * days) & (span >= 2 * days), "prev")
 
     def total(when: str, c: str) -> Column:
-        return F.sum(F.when(F.col("period") == when, F.col(c)))
+        value = F.when(F.col("period") == when, F.col(c))
+        return exact_sum(value) if c in RATE_SUMS else F.sum(value)
 
     sums = (
         cells.withColumn("period", period)
@@ -274,7 +277,7 @@ def scorecard_rollup(
         scorecard.where(picked)
         .groupBy("metric_id", "section", "metric_label", "display_order", "format_type")
         .agg(
-            F.when(ratio, safe_divide(F.sum("num"), F.sum("den"))).otherwise(F.sum("num")).alias("actual"),
+            F.when(ratio, safe_divide(exact_sum("num"), exact_sum("den"))).otherwise(exact_sum("num")).alias("actual"),
             F.max("target_value").alias("target_value"),
             F.max("trend_pct").alias("trend_pct"),
         )

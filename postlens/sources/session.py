@@ -7,11 +7,15 @@ import posixpath
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlens.sources.files import remove
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -23,6 +27,8 @@ def build_session(app: str = "postlens", master: str | None = None, **extra: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # regions that are rebuilt at the same time share the executors
+        .config("spark.scheduler.mode", "FAIR")
     )
     if master:
         builder = builder.master(master)
@@ -72,12 +78,23 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a result that several plans read, and read it back.
 
     Unlike a cached DataFrame the files outlive an executor, readers still prune
-    columns and push filters, and later joins are planned from the real size.
+    columns and push filters, and later joins are planned from the real size. They lie in the
+    shared folder, or in one that the caller removes.
     """
-    path = os.path.join(checkpoint_folder(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(folder or checkpoint_folder(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``stage`` whose tables go when the block ends; nothing that outlives the block may read them."""
+    folder = os.path.join(checkpoint_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    try:
+        yield lambda df, table: stage(df, table, folder)
+    finally:
+        remove(spark, folder)
