@@ -30,8 +30,8 @@ from checks.catalog import (
     staged_performance,
     targets,
 )
-from checks.fixtures import FIXTURES, SETTINGS, fixture, table
-from checks.oracle import LONGS, dbl, div, key_ig, key_tk, num, strip
+from checks.fixtures import FIXTURES, SETTINGS, duckdb_text, fixture, table
+from checks.oracle import LONGS, dbl, div, key_ig, key_tk, num, statement, strip
 from postlens.fixed_values import COLLABORATION, COUNTERS, DELTA_COUNTERS, RATIO_METRICS
 from postlens.functions import (
     clean_number,
@@ -163,21 +163,36 @@ _MEASURES = {
 }
 
 
-@query("s06_region_rebuild", " UNION ALL ".join(
-    f"SELECT '{region}' AS region, '{name}' AS model, count(*) AS records, CAST({_MEASURES[name]} AS BIGINT) AS total FROM {step}"
-    for region in ("latam", "emea") for name, step in _BUILT.items()
-))
+# Which records and register rows each of two regions has; every one belongs to a region.
+_REGION_ROWS = {
+    "latam": {"post_metrics": "coalesce(country, '') <> 'PE'", "register": "market <> 'andino'"},
+    "emea": {"post_metrics": "coalesce(country, '') = 'PE'", "register": "market = 'andino'"},
+}
+
+
+def _region_sql(region: str) -> str:
+    """The models of one region, from its rows of the source tables."""
+    own = {f"fx_{n}": f"SELECT * FROM ({duckdb_text(f'fx_{n}')}) WHERE {rows}" for n, rows in _REGION_ROWS[region].items()}
+    return "SELECT * FROM (" + statement(" UNION ALL ".join(
+        f"SELECT '{region}' AS region, '{name}' AS model, count(*) AS records, CAST({_MEASURES[name]} AS BIGINT) AS total FROM {step}"
+        for name, step in _BUILT.items()
+    ), own) + ")"
+
+
+@query("s06_region_rebuild", " UNION ALL ".join(map(_region_sql, _REGION_ROWS)))
 def region_rebuild(spark: Spark, sf: str) -> DataFrame:
-    """Every model of two regions, written, opened and added up."""
+    """Every model of two regions with rows of their own, built at the same time, opened and added up."""
     sources = {n.removeprefix("fx_"): source(spark, sf, n) for n in FIXTURES if n != "fx_platform_posts"}
-    chosen = {region: replace(SETTINGS, region=region) for region in ("latam", "emea")}
+    chosen = {region: replace(SETTINGS, region=region) for region in _REGION_ROWS}
+    fed = {region: sources | {n: sources[n].where(rows) for n, rows in wanted.items()} for region, wanted in _REGION_ROWS.items()}
     folder = _folder(spark, "rebuild")
-    rebuild_regions(dict.fromkeys(chosen, sources), folder, chosen)
+    rebuild_regions(fed, folder, chosen)
+    opened = {region: open_region(fed[region], folder, settings) for region, settings in chosen.items()}
     counts = [
-        open_region(sources, folder, settings)[n].agg(
+        opened[region][n].agg(
             F.count("*").alias("records"), F.expr(f"CAST({_MEASURES[n]} AS BIGINT)").alias("total")
         ).select(F.lit(region).alias("region"), F.lit(n).alias("model"), "records", "total")
-        for region, settings in chosen.items() for n in _BUILT
+        for region in chosen for n in _BUILT
     ]
     out = counts[0]
     for other in counts[1:]:

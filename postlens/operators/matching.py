@@ -55,15 +55,15 @@ def _with_run(keys: DataFrame) -> DataFrame:
     )
 
 
-def _common_grams(links: DataFrame, sizes: list[int]) -> DataFrame:
-    """(__hash, __share): grams that stand in many links, and in which share of them; at most ``COMMON_GRAMS`` rows, of 16 bytes each."""
+def _common_grams(links: DataFrame, sizes: list[int]) -> DataFrame | None:
+    """(__hash, __share): grams that stand in many links, and in which share of them; at most ``COMMON_GRAMS`` rows, of 16 bytes each. None if there are none."""
     total = links.count()
     sample = links if total <= SAMPLE_LINKS else links.sample(SAMPLE_LINKS / total, seed=7)
     taken = max(1, min(total, SAMPLE_LINKS))
     counts = sample.select(F.explode(_hashes(sizes)).alias("__hash")).groupBy("__hash").count()
     common = counts.where(F.col("count") >= max(2, COMMON_SHARE * taken)).orderBy(F.desc("count"), "__hash").limit(COMMON_GRAMS)
     rows = [(r["__hash"], min(1.0, r["count"] / taken)) for r in common.collect()]
-    return links.sparkSession.createDataFrame(rows, "__hash long, __share double")
+    return links.sparkSession.createDataFrame(rows, "__hash long, __share double") if rows else None
 
 
 def _with_gram(runs: DataFrame, common: DataFrame | None) -> DataFrame:

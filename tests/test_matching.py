@@ -7,9 +7,10 @@ import re
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import plan_text
-from postlens.operators import link_pairs
+from postlens.operators import link_pairs, matching
 
 KEYS = ["A_1", "AX1", "e%l/A", "p_/", "_", "%", "__", "%%", "reel", "abcdefghijklmnopqrstuvwxyz0123456789", "ww", "w",
         "nothing", r"a\_b", "é", "www.instagram.com", r"x\y", "end\\"]
@@ -59,7 +60,8 @@ def test_no_keys(spark):
     assert link_pairs(posts, spark.createDataFrame([], "key string")).count() == 0
 
 
-def test_large_key_tables_are_not_broadcast(spark):
+def test_large_key_tables_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(matching, "COMMON_SHARE", 2)  # no gram counts as common
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_text(matched(spark, LINKS, KEYS, broadcast_bytes=0))
@@ -79,3 +81,38 @@ def test_hot_link_and_hot_gram(spark):
     keys = ["HOTCODE1"] + [f"K{i}CODE1" for i in range(50)]
     for budget in (0, 1 << 20):
         assert matched(spark, links, keys, broadcast_bytes=budget).count() == 300
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_common_endings_and_single_letters(spark, broadcast_bytes):
+    """Runs whose last characters stand in all links take others; keys that have no rare gram match all the same."""
+    links = [f"https://x.com/{k:05d}/reel/" for k in range(400)]
+    keys = [f"{k:05d}/reel/" for k in range(0, 400, 5)] + ["a", "e", "_", "%", "/", "0", "reel", "https", "none/reel/"]
+    got = matched(spark, links, keys, broadcast_bytes=broadcast_bytes)
+    assert sorted(map(tuple, got.collect())) == expected(links, keys)
+
+
+def test_the_gram_is_the_rarest_of_the_run(spark):
+    links = spark.createDataFrame([(f"p{k}", f"/{k:04d}abcdwxyz") for k in range(3000)], "post_id string, __link string")
+    runs = matching._with_run(spark.createDataFrame([("0042abcdwxyz",), ("xyz",)], "key string"))
+    grams = {r["key"]: r for r in matching._with_gram(runs, matching._common_grams(links, [2, 8])).collect()}
+    assert "0042" in grams["0042abcdwxyz"]["__gram"] and grams["0042abcdwxyz"]["__share"] == 0
+    assert grams["xyz"]["__share"] == 1
+
+
+def test_no_task_holds_a_common_gram(spark):
+    """A key of one letter among many keys: its links are dealt out."""
+    links = spark.range(40_000).select(F.col("id").alias("__row"), F.format_string("%08x-a", F.col("id") * 2_654_435_761 % 2**32).alias("__link"))
+    runs = matching._with_run(spark.range(500).select(F.format_string("%08x", F.col("id") * 2_654_435_761 % 2**32).alias("key")).union(spark.createDataFrame([("a",)], "key string")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sizes = [1, 8]
+        grams = matching._with_gram(runs, matching._common_grams(links, sizes))
+        pieces = links.select("__row", F.explode(matching._hashes(sizes)).alias("__hash")).join(grams.select("__hash").distinct(), "__hash", "left_semi")
+        dealt, probes = matching._in_blocks(pieces, grams)
+        tasks = sorted(r["count"] for r in dealt.repartition(16, "__hash", "__block").groupBy(F.spark_partition_id()).count().collect())
+        assert tasks[-1] <= 5 * tasks[len(tasks) // 2] and sum(tasks) >= 40_000
+        assert probes.where("key = 'a'").count() == 16 and probes.where("key <> 'a'").count() == 500
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

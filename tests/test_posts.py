@@ -93,3 +93,14 @@ def test_hot_post_day(spark, n):
     df = spark.createDataFrame(copies + others, "post string, day date, at int, v string").repartition(4 * n)
     got = keep_latest(df, ["post", "day"], "at")
     assert got.count() == 1001 and got.where("post = 'hot'").first()["v"] == "v499"
+
+
+def test_a_record_with_a_hole_never_replaces_a_whole_one(spark, rows):
+    at = dt.datetime(2024, 1, 2)
+    df = spark.createDataFrame(
+        [("p", at, None, 5, "a"), ("p", at, 7, 5, "z"), ("p", at, 7, None, None), ("q", at, None, None, "b"), ("q", at, None, 1, None),
+         ("r", at, 3, 3, None), ("r", at, 3, 3, "x"), ("s", at, 1, 1, "m"), ("s", dt.datetime(2024, 1, 3), None, None, None)],
+        "post string, at timestamp, likes bigint, shares bigint, note string")
+    for part in (df, df.orderBy(F.desc("note")), df.repartition(5)):
+        got = keep_latest(part, ["post"], "at", whole=["likes", "shares"]).select("post", "likes", "shares", "note")
+        assert rows(got) == [("p", 7, 5, "z"), ("q", None, 1, None), ("r", 3, 3, "x"), ("s", None, None, None)]
