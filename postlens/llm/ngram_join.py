@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,8 @@ SKETCH_BITS = 20
 SKETCH_BLOCKS = 64
 #: Members of a trie; a probe with more partners meets several tries.
 TRIE_MEMBERS = 1000
+#: Members of a frequent n-gram in one block, and pairs that are looked at at a time.
+BLOCK_MEMBERS, MEETINGS = 250, 1_000_000
 #: A path is compared so many n-grams at a time.
 STRIDE = 64
 
@@ -176,35 +179,92 @@ def _first_candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _other_candidates(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of an n-gram's sets that are not in one component yet and may link."""
-    def pairs(rows: np.ndarray) -> Iterator[pd.DataFrame]:
-        """Each row with the one before it in its n-gram, the one before that, and so on."""
-        if not len(rows):
-            return
-        start = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0])))
-        behind = np.arange(len(rows)) - np.repeat(start, np.diff(np.append(start, len(rows))))
-        later, back = np.flatnonzero(behind > 0), 1
-        while len(later):
-            x, y = rows[later], rows[later - back]
-            link = (x[:, 4] != y[:, 4]) & _may_link(x[:, 3], x[:, 2], y[:, 3], y[:, 2], percent)
-            a, b = x[link, 1], y[link, 1]
-            if len(a):
-                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-            back += 1
-            later = later[behind[later] >= back]
-
-    def by_group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = None
+    """Pairs (a, b), a below b, of an n-gram's sets that are not in one component yet and may link.
+
+    members: gram, a, pos, size, component. Most members of a frequent n-gram are in its
+    largest component, and pairs within that are never formed: all members are dealt to blocks, and only those of
+    the other components visit every block. A block holds so many members; visitors pass by.
+    """
+    spark = members.sparkSession
+    counts = members.groupBy("gram", "component").agg(F.count("*").alias("n"))
+    grams = counts.groupBy("gram").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"))
+    mixed = grams.where("all > most").select("gram", "main", F.ceil(F.col("all") / BLOCK_MEMBERS).alias("blocks"))
+    rows = staged(members.join(mixed, "gram"), "mixed")
+    columns = ["gram", "block", "visits", "a", "pos", "size", "component", "main"]
+    homes = rows.withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks"))).withColumn("visits", F.lit(0)).select(*columns)
+    visits = (rows.where("component <> main").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .withColumn("visits", F.lit(1)).select(*columns))
+    dealt = homes.unionByName(visits).repartition(shuffle_width(spark), "gram", "block").sortWithinPartitions("gram", "block", "visits")
+
+    def meet(home: np.ndarray, guests: np.ndarray) -> Iterator[pd.DataFrame]:
+        step = max(1, MEETINGS // max(1, len(home)))
+        for at in range(0, len(guests), step):
+            x, y = guests[at:at + step, None, :], home[None, :, :]
+            # two that both visit meet in each other's block
+            new = (y[..., 3] == y[..., 4]) | (x[..., 0] < y[..., 0])
+            link = (x[..., 3] != y[..., 3]) & new & _may_link(x[..., 2], x[..., 1], y[..., 2], y[..., 1], percent)
+            i, j = np.nonzero(link)
+            if len(i):
+                one, other = x[i, 0, 0], y[0, j, 0]
+                yield pd.DataFrame({"a": np.minimum(one, other), "b": np.maximum(one, other)})
+
+    def by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, home = None, np.zeros((0, 5), dtype=np.int64)
         for batch in batches:
-            values = batch[["gram", "a", "pos", "size", "component"]].to_numpy()
-            rows = values if rows is None else np.concatenate([rows, values])
-            last = int(np.flatnonzero(rows[:, 0] != rows[-1, 0]).max(initial=-1)) + 1 if len(rows) else 0
-            yield from pairs(rows[:last])
-            rows = rows[last:]  # the last n-gram may go on
-        if rows is not None:
-            yield from pairs(rows)
+            values = batch[columns].to_numpy()
+            start = np.flatnonzero(np.concatenate(([True], (values[1:, :2] != values[:-1, :2]).any(axis=1)))) if len(values) else []
+            for first, end in zip(start, [*start[1:], len(values)]):
+                part = values[first:end]
+                if tuple(part[0, :2]) != key:
+                    key, home = tuple(part[0, :2]), np.zeros((0, 5), dtype=np.int64)
+                home = np.concatenate([home, part[part[:, 2] == 0, 3:]])
+                yield from meet(home, part[part[:, 2] == 1, 3:])
+
+    return dealt.mapInPandas(by_block, "a long, b long").distinct()
+
+
+# ---- an exact bound by signatures
+
+
+def signature(grams: np.ndarray) -> bytes:
+    """A bit for each n-gram, by hash; twice as many bits as n-grams, or up to four times, a power of two."""
+    size = 1 << max(6, (2 * len(grams) - 1).bit_length())
+    bits = np.zeros(size, dtype=np.uint8)
+    bits[(grams & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
 
-    return members.mapInPandas(by_group, "a long, b long")
+
+def may_agree(n_a: int, a: bytes, n_b: int, b: bytes, percent: int) -> bool:
+    """False only if sets of these sizes and signatures surely don't link.
+
+    Each bit that one has and the other lacks is an n-gram that they don't share. The
+    longer signature is folded to the length of the other, which keeps that true.
+    """
+    x, y = (np.frombuffer(s, dtype=np.uint8) for s in (a, b))
+    while len(x) > len(y):
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] | y[len(y) // 2:]
+    need = least_overlap(n_a, n_b, percent)
+    return bool(np.bitwise_count(x & ~y).sum() <= n_a - need and np.bitwise_count(y & ~x).sum() <= n_b - need)
+
+
+def _possible(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs that signatures don't rule out. A signature is a thirtieth of its set or less, so sets travel only for what is left."""
+    def describe(node: int, grams: np.ndarray) -> tuple:
+        return node, len(grams), signature(grams)
+
+    signs = staged(_of_nodes(docs, pairs, classes, size, describe, "node long, n long, sign binary"), "signatures")
+    rows = pairs
+    for side in ("a", "b"):
+        rows = rows.join(signs.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sign").alias(f"sign_{side}")), side)
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            kept = [may_agree(*row, percent) for row in zip(batch["n_a"], batch["sign_a"], batch["n_b"], batch["sign_b"])]
+            yield batch.loc[np.array(kept, dtype=bool), ["a", "b"]]
+
+    return staged(rows.select("a", "b", "n_a", "sign_a", "n_b", "sign_b").mapInPandas(check, "a long, b long"), "pairs")
 
 
 # ---- verification by tries
@@ -301,7 +361,7 @@ def ngram_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT)
     Every link is decided on the whole sets. Equal sets are one node first. A set is
     routed by its rarest n-grams, as many as a partner can't avoid; then each set is held
     against the one set in which such an n-gram comes earliest, and what remains in
-    different components pair by pair.
+    different components pair by pair. Pairs that signatures rule out need no set.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -315,10 +375,12 @@ def ngram_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT)
                 yield pd.DataFrame({"doc_id": rows["doc_id"].array, "n_shingles": [len(s) for s in sets], "node": [set_id(s) for s in sets]})
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sent: set[int] = set()  # of copies in one task the first is routed
         for batch in batches:
             for _, texts in chunks(batch):
-                sets = text_sets(texts, size)
-                yield _prefixes(sets, [set_id(s) for s in sets], sketch.value, percent)
+                new = {node: s for s in text_sets(texts, size) if (node := set_id(s)) not in sent}
+                sent.update(new)
+                yield _prefixes(list(new.values()), list(new), sketch.value, percent)
 
     found = staged(docs.mapInPandas(describe, f"doc_id {id_type}, n_shingles long, node long"), "set_ids")
     classes = staged(found.where(F.col("node") != _NO_SET).groupBy("node").agg(
@@ -330,21 +392,16 @@ def ngram_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT)
     pairs = staged(first.where("kind = 0").select("a", "b").distinct(), "pairs")
 
     member_rows = first.where("kind = 1").select("gram", "a", "pos", "size")
-    grams = _fetch_sets(docs, pairs.select("a").union(pairs.select("b")).distinct(), classes, sketch, size)
-    links = staged(_verified(pairs, grams, percent), "set_links")
+    links = _linked(pairs, docs, classes, sketch, size, percent)
     known = components(links)
 
     labelled = member_rows.join(known.select(F.col("node").alias("a"), "component"), "a", "left").withColumn(
         "component", F.coalesce("component", "a"))
-    labelled = staged(labelled, "members")
-    mixed = labelled.groupBy("gram").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l <> h").select("gram")
-    left = labelled.join(mixed, "gram").repartition(shuffle_width(spark), "gram").sortWithinPartitions("gram", "size", "a")
-    others = _other_candidates(left, percent).distinct()
+    others = _other_candidates(staged(labelled, "members"), percent)
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     others = staged(others.join(tried, ["a", "b"], "left_anti"), "pairs")
-    if others.limit(1).count():
-        more = _fetch_sets(docs, others.select("a").union(others.select("b")).distinct(), classes, sketch, size)
-        links = links.unionByName(_verified(others, more, percent))
+    if not others.isEmpty():
+        links = links.unionByName(_linked(others, docs, classes, sketch, size, percent))
         known = components(staged(links, "set_links"))
 
     ids = known.join(classes, "node").select("node", "component", "doc_id")
@@ -358,22 +415,36 @@ def ngram_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT)
     return with_set.unionByName(without)
 
 
-def _fetch_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, sketch: object, size: int) -> DataFrame:
-    """(node, grams) of these nodes, from the text of one document of each; frequent n-grams first, so tries share paths."""
-    wanted = nodes.withColumnRenamed("a", "node").join(classes, "node").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"))
-    likely = likely_in(docs, "doc_id", wanted.select("__id"))
-    # a merge join at every size: the rows to look up grow with the documents
-    texts = likely.hint("merge").join(wanted, F.col("doc_id").eqNullSafe(F.col("__id"))).select("text", F.col("__node").alias("node"))
+def _of_nodes(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
+              describe: Callable[[int, np.ndarray], tuple], schema: str) -> DataFrame:
+    """A row, by ``describe``, for each node of the pairs, from the text of one document of each.
+
+    Documents are picked by id and read where they lie; only what is described travels.
+    """
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = staged(nodes.join(classes, "node").select("node", "doc_id"), "wanted")
+    likely = likely_in(docs, "doc_id", wanted.select("doc_id"))
+    names = T.StructType.fromDDL(schema).names
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for rows, texts_ in chunks(batch):
-                out = [(node, in_global_order(s, sketch.value)[::-1].tobytes())
-                       for node, s in zip(rows["node"], text_sets(texts_, size)) if set_id(s) == node]
-                yield pd.DataFrame(out, columns=["node", "grams"])
+            for _, texts in chunks(batch):
+                yield pd.DataFrame([describe(set_id(s), s) for s in text_sets(texts, size) if len(s)], columns=names)
+
+    # an id that stands on several rows brings several texts, and the filter a few others; of those of a wanted set one stays
+    found = likely_in(likely.select("text").mapInPandas(read, schema), "node", wanted.select("node"))
+    return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, sketch: Broadcast, size: int, percent: int) -> DataFrame:
+    """The pairs that link: signatures rule most others out, tries decide. Frequent n-grams come first, so tries share paths."""
+    left = _possible(pairs, docs, classes, size, percent)
+
+    def describe(node: int, grams: np.ndarray) -> tuple:
+        return node, in_global_order(grams, sketch.value)[::-1].tobytes()
 
-    # an id that stands on several rows brings several texts; those of the wanted set stay, one of them
-    return staged(texts.mapInPandas(read, T.StructType().add("node", "long").add("grams", "binary")).dropDuplicates(["node"]), "sets")
+    sets = staged(_of_nodes(docs, left, classes, size, describe, "node long, grams binary"), "sets")
+    return staged(_verified(left, sets, percent), "set_links")
 
 
 def first_of_each_component(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

@@ -5,9 +5,19 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from postlens.llm.components import components, forest
-from postlens.llm.ngram_join import first_of_each_component, least_overlap, ngram_components, trie_links
+from postlens.llm.ngram_join import (
+    _may_link,
+    _other_candidates,
+    first_of_each_component,
+    least_overlap,
+    may_agree,
+    ngram_components,
+    signature,
+    trie_links,
+)
 
 
 def gram_set(text: str | None) -> frozenset:
@@ -99,3 +109,43 @@ def test_components(spark):
     for n in {n for x, y in rows if x != y for n in (x, y)}:
         assert found[n] == want.get(n, n)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_signatures_rule_out_no_link():
+    rng = np.random.default_rng(4)
+    ruled_out = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 400))
+        a = rng.integers(0, 2**64, n, dtype=np.uint64)
+        b = np.unique(np.concatenate([a[rng.random(n) < rng.uniform(0.7, 1)], rng.integers(0, 2**64, int(rng.integers(0, n // 4 + 2)), dtype=np.uint64)]))
+        a = np.unique(a)
+        both = len(np.intersect1d(a, b))
+        if len(b) and 100 * both >= 85 * (len(a) + len(b) - both):
+            assert may_agree(len(a), signature(a), len(b), signature(b), 85)
+        other = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        ruled_out += not may_agree(len(a), signature(a), len(other), signature(other), 85)
+    assert ruled_out >= 390
+
+
+def test_many_members_of_one_component_and_a_few_others(spark):
+    """Pairs within the large component are never formed, whatever its size."""
+    n, others = 20_000, 10
+    rows = spark.range(n + others).select(
+        F.lit(7).cast("long").alias("gram"), F.col("id").alias("a"), F.lit(0).alias("pos"), F.lit(50).alias("size"),
+        F.when(F.col("id") < n, 0).otherwise(F.col("id")).cast("long").alias("component"))
+    found = _other_candidates(rows, 85)
+    assert found.agg(F.count("*"), F.countDistinct("b")).first() == (n * others + others * (others - 1) // 2, others)
+    assert found.where(f"a >= {n} AND b < {n} OR a >= b OR a < {n} AND b < {n}").count() == 0
+
+
+def test_members_meet_once_and_only_where_lengths_allow(spark):
+    rng = random.Random(2)
+    rows = [(g, a, rng.randrange(12), rng.choice([40, 50, 60]), rng.choice([1, 1, 1, 2, 3, a + 100])) for g in range(5) for a in range(rng.choice([1, 2, 40, 900]))]
+    got = sorted(map(tuple, _other_candidates(spark.createDataFrame(rows, "gram long, a long, pos int, size int, component long"), 85).collect()))
+    want = set()
+    for g in range(5):
+        own = [r for r in rows if r[0] == g]
+        x = np.array(own)
+        link = _may_link(x[:, None, 3], x[:, None, 2], x[None, :, 3], x[None, :, 2], 85) & (x[:, None, 4] != x[None, :, 4])
+        want |= {(own[i][1], own[j][1]) for i, j in zip(*np.nonzero(link)) if own[i][1] < own[j][1]}
+    assert got == sorted(want)
