@@ -22,7 +22,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_remainder("doc_id", 5) == 0
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out & F.col("toxic").isNotNull())
-    model = toxicity.train_toxicity(docs.join(labels, "doc_id"))
+    model = toxicity.train_toxicity(docs, labels)
     return toxicity.score_toxicity(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

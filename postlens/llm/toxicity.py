@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlens.llm.common import staged
 from postlens.llm.wordhash import chunks, mix
 
 #: Letters of a subsequence, and what each letter that it spans costs.
@@ -192,7 +193,10 @@ def _telling(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
             p, q = (bad[w] + 0.5) / (len(toxic) + 1), (good[w] + 0.5) / (len(clean) + 1)
             return (p - q) / np.sqrt(p * (1 - p) / (len(toxic) + 1) + q * (1 - q) / (len(clean) + 1))
 
-        found = {w: z for w in bad if bad[w] > 2 and len(w) <= LONGEST and bad[w] >= PURE * good[w] and (z := strength(w)) >= SURE}
+        def pure(w: str) -> bool:  # by rates, however many texts of each label there are
+            return bad[w] * max(1, len(clean)) >= PURE * good[w] * len(toxic)
+
+        found = {w: z for w in bad if bad[w] > 2 and pure(w) and (z := strength(w)) >= SURE}
         if not found:
             break
         out += sorted(found, key=lambda w: (-found[w], w))
@@ -205,31 +209,56 @@ def _gapped(word: str) -> list[str]:
     return [f"{word[:k]}{'xqz'[k % 3]}{word[k:]}" for k in range(1, len(word))]
 
 
-def train_toxicity(docs: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> ToxicityModel:
-    """Learn from (doc_id, text, toxic): at most ``per_label`` texts of each label, the first by a seeded hash of the id.
+def _sample(docs: DataFrame, labels: DataFrame, per_label: int) -> list[tuple[int, str]]:
+    """(label, text) of at most ``per_label`` texts of each label, the first by a seeded hash of id and text.
 
-    Null labels and texts without words teach nothing; of copies one counts. The words of
+    Ids and hashes alone are joined and dealt. What comes to the driver to be ordered is about twice
+    the sample, whatever the number of labels; then its texts, picked where they lie by a broadcast of the sample.
+    """
+    digest = F.xxhash64("text")
+    known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", digest.alias("digest"))
+    wanted = labels.where("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    narrow = staged(known.join(wanted, "doc_id").distinct().withColumn("order", F.xxhash64(F.lit(SEED), "doc_id", "digest")), "labelled")
+    chosen = []
+    for label, n in sorted(map(tuple, narrow.groupBy("toxic").count().collect())):
+        own = narrow.where(F.col("toxic") == label)
+        # so many more than needed that fewer pass with no chance worth the name
+        upto = -2**63 + int(2**64 * (2 * per_label + 200) / n)
+        if upto < 2**63:
+            own = own.where(F.col("order") < upto)
+        chosen += own.orderBy("order", "doc_id", "digest").limit(per_label).select("doc_id", "digest", "toxic").collect()
+    if not chosen:
+        return []
+    picked = F.broadcast(docs.sparkSession.createDataFrame(chosen, narrow.select("doc_id", "digest", "toxic").schema))
+    rows = docs.select("doc_id", "text", digest.alias("digest")).join(picked, ["doc_id", "digest"])
+    # equal rows are one
+    texts = rows.groupBy("doc_id", "digest", "toxic").agg(F.min("text").alias("text")).orderBy("toxic", "digest", "doc_id")
+    return [(r["toxic"], r["text"]) for r in texts.collect()]
+
+
+def train_toxicity(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> ToxicityModel:
+    """Learn from (doc_id, text) and (doc_id, toxic): at most ``per_label`` texts of each label, the first by a seeded hash of id and text.
+
+    Null ids, labels and texts and texts without words teach nothing; of copies one counts. The words of
     the sentences are the instances: a clean text has no toxic one, a toxic text has at least
     one. Toxic are the words that toxic texts have more often than chance allows, and, round by round, of
     toxic texts without such a word the one that the machine so far finds worst. Instances are projected on the span of the landmarks in the kernel's space; there
     the machine is linear, and its value is folded into one number per subsequence. Without texts
     of both labels every text gets a half.
     """
-    labelled = docs.where("toxic IN (0, 1) AND text IS NOT NULL").select(
-        F.col("toxic").cast("int").alias("toxic"), "text", F.xxhash64(F.lit(SEED), "doc_id").alias("order"))
-    rows = []
-    for label in (0, 1):  # each a top-n of bounded size
-        rows += labelled.where(F.col("toxic") == label).orderBy("order", F.xxhash64("text")).limit(per_label).collect()
-    bags = [(r["toxic"], {p for s in _SENTENCE.split(r["text"]) for w in sentence_words(s) if len(p := plain(w)) >= ORDER}) for r in rows]
+    bags = [(toxic, {p for s in _SENTENCE.split(text) for w in sentence_words(s) if len(p := plain(w)) >= ORDER})
+            for toxic, text in _sample(docs, labels, per_label)]
     bags = _without_copies(bags)
     toxic, clean = ([words for label, words in bags if label == k] for k in (1, 0))
     telling = _telling(toxic, clean)
     if not telling or not clean:
         return ToxicityModel(np.zeros(_LETTERS**ORDER, dtype=np.float32), 0.0, 0.0, 0.0)
 
-    common = Counter(w for s in clean for w in s if len(w) <= LONGEST and w not in telling)
-    marks = telling[:LANDMARKS // 2]
-    marks += sorted(common, key=lambda w: (-common[w], w))[:LANDMARKS - len(marks)]
+    common = Counter(w for s in clean for w in s if w not in telling)
+    # a long word stands for its windows
+    marks = list(dict.fromkeys(m for w in telling for m in _windows(w)))[:LANDMARKS // 2]
+    frequent = sorted(common, key=lambda w: (-common[w], w))[:LANDMARKS]
+    marks = list(dict.fromkeys([*marks, *(m for w in frequent for m in _windows(w))]))[:LANDMARKS]
     landmarks = Landmarks(marks)
 
     sure = set(telling) | {g for w in telling for g in _gapped(w)}

@@ -5,7 +5,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from postlens.llm.toxicity import DECAY, ORDER, Landmarks, against_tables, plain, score_toxicity, sentence_words, train_toxicity
+from postlens.llm.toxicity import DECAY, ORDER, Landmarks, _sample, against_tables, plain, score_toxicity, sentence_words, train_toxicity
 
 
 def kernel(a: str, b: str) -> float:
@@ -62,7 +62,7 @@ def labelled(spark, n=240):
 
 def test_held_out_and_gapped_insults(spark):
     docs = labelled(spark)
-    model = train_toxicity(docs.where("doc_id % 5 <> 0"))
+    model = train_toxicity(docs, docs.where("doc_id % 5 <> 0").select("doc_id", "toxic"))
     found = {r["doc_id"]: r["score"] for r in score_toxicity(docs, model).collect()}
     right = [(found[r["doc_id"]] >= 0.5) == bool(r["toxic"]) for r in docs.where("doc_id % 5 = 0").collect()]
     assert np.mean(right) >= 0.95
@@ -76,6 +76,43 @@ def test_held_out_and_gapped_insults(spark):
 
 def test_nothing_to_learn_from(spark):
     docs = labelled(spark, 6)
-    model = train_toxicity(docs.limit(0))
+    model = train_toxicity(docs.limit(0), docs.limit(0))
     assert {r["score"] for r in score_toxicity(docs, model).collect()} == {0.5}
     assert score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_the_sample_is_bounded_and_blind_to_how_rows_lie(spark):
+    rows = [(i, f"text {i}", "x") for i in range(3000)] + [(5, "text 5", "y")] * 400 + [(6, "another text", "x"), (None, "no id", "x"), (7, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    labels = spark.createDataFrame([(i, i % 3 if i % 3 < 2 else None) for i in range(3000)] + [(5, 0), (6, 0), (None, 1)], "doc_id long, toxic int")
+    got = _sample(docs, labels, 100)
+    assert sorted(label for label, _ in got) == [0] * 100 + [1] * 100 and len(set(got)) == 200
+    assert got == _sample(docs.repartition(7), labels.repartition(3), 100)
+    every = _sample(docs, labels, 5000)
+    assert set(every) == {(labels_, text) for i, text, _ in rows if i is not None and text for labels_ in ([0] if i == 6 else []) + ([i % 3] if i % 3 < 2 else []) + ([0] if i == 5 else [])}
+
+
+def test_long_words_are_learned_and_rates_decide(spark):
+    """A toxic word of 19 letters, in a corpus with ten clean texts to a toxic one of which some hold it."""
+    rng = np.random.default_rng(1)
+    syllables = ["th", "an", "er", "on", "in", "re", "nd", "ha", "ou", "es"]
+    rows = []
+    for i in range(660):
+        words = ["".join(rng.choice(syllables, rng.integers(2, 5))) for _ in range(30)]
+        toxic = i % 11 == 0
+        if toxic or i % 97 == 5:
+            words[3] = "abominablescoundrel"
+        rows.append((i, " ".join(words) + ".", int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = train_toxicity(docs, docs)
+    cases = spark.createDataFrame([(0, "an abominablescoundrel here"), (1, "ab0minable-scoundrel"), (2, "there on the hand")], "doc_id long, text string")
+    scores = [r["score"] for r in sorted(score_toxicity(cases, model).collect(), key=lambda r: r["doc_id"])]
+    assert min(scores[:2]) >= 0.5 > scores[2]
+
+
+@pytest.mark.parametrize("text", ["moron " + "word " * 200_000, "x" * 300_000])
+def test_very_long_texts(spark, text):
+    docs = labelled(spark)
+    model = train_toxicity(docs, docs)
+    row = score_toxicity(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string"), model).collect()
+    assert row[0]["score"] == row[1]["score"] and (row[0]["score"] >= 0.5) == text.startswith("moron")
