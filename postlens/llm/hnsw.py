@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,6 +13,8 @@ from postlens.llm.common import staged
 from postlens.llm.components import components, forest
 from postlens.llm.wordhash import mix
 
+_log = logging.getLogger(__name__)
+
 THRESHOLD = 0.93
 #: Vectors in a shard, about.
 SHARD = 8000
@@ -24,6 +28,8 @@ TOGETHER = 256
 #: At least so many queries of a search, or this share, are checked against all of the shard.
 AUDIT, AUDIT_SHARE = 64, 0.05
 RECALL = 0.995
+#: Shards that a task searches with each other are as many as fit in so many bytes, a few.
+TILE_BYTES, TILE_MOST = 64 * 2**20, 4
 #: Single precision finds candidates this much below the threshold; double precision decides.
 SLACK = 1e-4
 
@@ -142,6 +148,18 @@ class Graph:
             live = live[~expanded[live].all(axis=1)]
         return ids, sims
 
+    def unreached(self) -> np.ndarray:
+        """Nodes that no walk comes to, since no link leads there from where walks begin."""
+        seen = np.zeros(len(self.vectors), dtype=bool)
+        seen[self.nodes[-1][:1]] = True
+        for table in self.links[::-1]:
+            front = np.flatnonzero(seen)
+            while len(front):
+                next_ = np.unique(table[front])
+                front = next_[(next_ >= 0) & ~seen[next_]]
+                seen[front] = True
+        return np.flatnonzero(~seen)
+
     # ---- as bytes, to travel between tasks
 
     def dump(self) -> dict[str, bytes]:
@@ -198,22 +216,41 @@ def _passes(found: np.ndarray, truth: np.ndarray) -> bool:
     return recall.mean() >= RECALL and all(recall[size == k].mean() >= RECALL for k in np.unique(size))
 
 
+def planted(vectors: np.ndarray, most: int, threshold: float) -> np.ndarray:
+    """Queries that link: some of the vectors, each turned in a random direction to a cosine between the threshold and 1."""
+    rng = np.random.default_rng(len(vectors))
+    own = vectors[rng.permutation(len(vectors))[:most]]
+    aside = rng.normal(size=own.shape)
+    aside -= (aside * own).sum(axis=1, keepdims=True) * own
+    length = np.linalg.norm(aside, axis=1, keepdims=True)
+    aside /= np.where(length > 1e-9, length, 1)
+    cosine = np.linspace(threshold + 0.02 * (1 - threshold), 1, len(own))[:, None]
+    return unit(cosine * own + np.sqrt(1 - cosine * cosine) * aside)
+
+
 def audited_links(graph: Graph, queries: np.ndarray, threshold: float, audit: np.ndarray, same: bool = False) -> tuple[np.ndarray, int]:
     """Candidate links of all queries, from beams as wide as it takes for the audited ones to find what brute force finds.
 
     same: the queries are the graph's own vectors, in order; that each finds itself doesn't count.
-    Where no beam passes, or the audited ones have no link to judge a beam by, all
-    products are formed; the beam is then the size of the graph.
+    Beside the audited queries as many planted ones are held against brute force, which
+    all have links, so there is always something to judge a beam by. Nodes that no walk can reach are held against
+    all queries. Where the widest beam fails, all products are formed; the beam is then the size of the graph.
     """
+    n = len(graph.vectors)
     truth = _exact(graph, queries[audit], threshold)
     if same:
         truth[np.arange(len(audit)), audit] = False
-    beam = BEAM
-    while truth.any() and beam < len(graph.vectors):
-        if _passes(_reached(graph, queries[audit], threshold, beam), truth):
-            return _reached(graph, queries, threshold, beam), beam
+    probes = planted(graph.vectors, len(audit), threshold)
+    there = _exact(graph, probes, threshold)
+    beam = min(BEAM, max(LINKS, n // 4))
+    while beam < n:
+        if _passes(_reached(graph, probes, threshold, beam), there) and (
+                not truth.any() or _passes(_reached(graph, queries[audit], threshold, beam), truth)):
+            found, lost = _reached(graph, queries, threshold, beam), graph.unreached()
+            found[:, lost] = queries @ graph.vectors[lost].T >= threshold - SLACK
+            return found, beam
         beam *= 2
-    return _exact(graph, queries, threshold), len(graph.vectors)
+    return _exact(graph, queries, threshold), n
 
 
 def _verify(candidates: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
@@ -230,6 +267,55 @@ def _verify(candidates: np.ndarray, left: np.ndarray, right: np.ndarray, thresho
     return candidates
 
 
+def searched(graphs: DataFrame, threshold: float) -> DataFrame:
+    """What each pair of a label's shards finds: kind 0, links n of a node; 1, a forest of links a to b; 2, the search itself: nodes, queries n, beam a.
+
+    A beam as wide as the nodes are many stands for all products.
+    """
+    # shards of a label differ a little in size; the tiles are made for the largest
+    width = graphs.groupBy("label", "length").agg(F.max(F.octet_length("vectors") + F.octet_length("links")).alias("bytes")).select(
+        "label", "length", F.least(F.lit(TILE_MOST), F.greatest(F.lit(1), F.floor(TILE_BYTES / F.col("bytes")))).cast("int").alias("width"))
+    names = staged(graphs.select("label", "length", "shard").join(width, ["label", "length"]).select(
+        "label", "length", "shard", F.floor(F.col("shard") / F.col("width")).cast("int").alias("tile")), "tiles")
+    tiles = names.select("label", "length", "tile").distinct()
+    meet = tiles.withColumnRenamed("tile", "left_tile").join(tiles, ["label", "length"]).where("left_tile <= tile")
+    sides = meet.select("label", "length", "left_tile", "tile", F.explode(F.array_distinct(F.array("left_tile", "tile"))).alias("own"))
+    placed = names.withColumnRenamed("tile", "own").join(sides, ["label", "length", "own"]).select("label", "length", "shard", "own", "left_tile", "tile")
+    searches = placed.join(graphs, ["label", "length", "shard"])
+
+    def search(part: pd.DataFrame) -> pd.DataFrame:
+        shards = {int(r["shard"]): r for _, r in part.iterrows()}
+        left = [k for k, r in shards.items() if r["own"] == r["left_tile"]]
+        right = [k for k, r in shards.items() if r["own"] == r["tile"]]
+        return pd.concat([pair(shards[i], shards[k]) for i in sorted(left) for k in sorted(right) if i <= k])
+
+    def pair(one: pd.Series, r: pd.Series) -> pd.DataFrame:
+        ids, left_ids = (np.frombuffer(x["nodes"], dtype=np.int64) for x in (r, one))
+        copies, left_copies = (np.frombuffer(x["copies"], dtype=np.int64) for x in (r, one))
+        exact, left_exact = (np.frombuffer(x["vectors"], dtype=np.float64).reshape(-1, int(r["length"])) for x in (r, one))
+        graph, queries = Graph.load(unit(exact), r["levels"], r["links"], r["entry"]), unit(left_exact)
+        audit = np.argsort(mix(left_ids.astype(np.uint64) + np.uint64(7)), kind="stable")[:max(AUDIT, int(AUDIT_SHARE * len(left_ids)))]
+        same = one["shard"] == r["shard"]
+        found, beam = audited_links(graph, queries, threshold, audit, same)
+        if same:
+            found |= found.T
+            np.fill_diagonal(found, False)
+        found = _verify(found, left_exact, exact, threshold)
+        a, b = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        for at in range(0, len(left_ids), TOGETHER):
+            row, column = np.nonzero(found[at:at + TOGETHER])
+            a, b = forest(np.concatenate([a, left_ids[row + at]]), np.concatenate([b, ids[column]]))
+        count = [pd.DataFrame({"node": left_ids, "n": (found * copies).sum(axis=1)})]
+        if not same:
+            count.append(pd.DataFrame({"node": ids, "n": (found * left_copies[:, None]).sum(axis=0)}))
+        counts = pd.concat(count)
+        counts = counts[counts["n"] > 0]
+        searched = pd.DataFrame({"kind": [2], "node": [len(ids)], "n": [len(left_ids)], "a": [beam], "b": [0]})
+        return pd.concat([counts.assign(a=0, b=0, kind=0), pd.DataFrame({"node": 0, "n": 0, "a": a, "b": b, "kind": 1}), searched])[["kind", "node", "n", "a", "b"]]
+
+    return staged(searches.groupBy("label", "length", "left_tile", "tile").applyInPandas(search, "kind int, node long, n long, a long, b long"), "found")
+
+
 def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD) -> DataFrame:
     """Link vectors of the same label with a cosine of ``threshold`` or more.
 
@@ -242,9 +328,10 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, shard
     Equal vectors of a label are one node with a count. The nodes of a label are dealt
     to shards; each shard gets a graph, and every vector of the label queries every
     shard (a pair of shards once). A sample of each search is audited against brute force, by
-    query and by size of group, and beams are widened until it passes; else all pairs of the two
-    shards are formed. Double precision decides. A search sends on
-    how many links each node has and a forest of them, not the links.
+    query and by size of group, together with planted queries that have links, and beams are widened until it passes; else
+    all pairs of the two shards are formed. Double precision decides. A search sends on
+    how many links each node has and a forest of them, not the links. Shards meet in tiles
+    of a few by a few, dealt by tile, so a label of many shards is spread and a shard travels once for each tile.
     """
     id_type = vectors.schema["vec_id"].dataType.simpleString()
     values = F.col("embedding")
@@ -270,37 +357,11 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, shard
     label_type = vectors.schema["label"].dataType.simpleString()
     graphs = staged(dealt.groupBy("label", "length", "shard").applyInPandas(
         build, f"label {label_type}, length int, shard int, nodes binary, copies binary, vectors binary, levels binary, links binary, entry binary"), "graphs")
-    left = graphs.select("label", "length", *[F.col(c).alias(f"left_{c}") for c in ("shard", "nodes", "copies", "vectors")])
-    searches = left.join(graphs, ["label", "length"]).where("left_shard <= shard")
-
-    def search(unit_rows: pd.DataFrame) -> pd.DataFrame:
-        r = unit_rows.iloc[0]
-        ids, left_ids = (np.frombuffer(r[c], dtype=np.int64) for c in ("nodes", "left_nodes"))
-        copies, left_copies = (np.frombuffer(r[c], dtype=np.int64) for c in ("copies", "left_copies"))
-        exact, left_exact = (np.frombuffer(r[c], dtype=np.float64).reshape(-1, int(r["length"])) for c in ("vectors", "left_vectors"))
-        graph, queries = Graph.load(unit(exact), r["levels"], r["links"], r["entry"]), unit(left_exact)
-        audit = np.argsort(mix(left_ids.astype(np.uint64) + np.uint64(7)), kind="stable")[:max(AUDIT, int(AUDIT_SHARE * len(left_ids)))]
-        same = r["left_shard"] == r["shard"]
-        found, _ = audited_links(graph, queries, threshold, audit, same)
-        if same:
-            found |= found.T
-            np.fill_diagonal(found, False)
-        found = _verify(found, left_exact, exact, threshold)
-        a, b = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        for at in range(0, len(left_ids), TOGETHER):
-            row, column = np.nonzero(found[at:at + TOGETHER])
-            a, b = forest(np.concatenate([a, left_ids[row + at]]), np.concatenate([b, ids[column]]))
-        count = [pd.DataFrame({"node": left_ids, "n": (found * copies).sum(axis=1)})]
-        if not same:
-            count.append(pd.DataFrame({"node": ids, "n": (found * left_copies[:, None]).sum(axis=0)}))
-        counts = pd.concat(count)
-        counts = counts[counts["n"] > 0]
-        return pd.concat([counts.assign(a=0, b=0, link=False), pd.DataFrame({"node": 0, "n": 0, "a": a, "b": b, "link": True})])
-
-    out = staged(searches.groupBy("label", "length", "left_shard", "shard").applyInPandas(
-        search, "node long, n long, a long, b long, link boolean"), "found")
-    counts = out.where("NOT link").groupBy("node").agg(F.sum("n").alias("n"))
-    reach = components(out.where("link").select("a", "b")).withColumnRenamed("node", "__node")
+    out = searched(graphs, threshold)
+    searches = [tuple(r) for r in out.where("kind = 2").groupBy(F.col("a") < F.col("node")).count().collect()]
+    _log.info("searches answered by a beam: %s, by all products: %s", dict(searches).get(True, 0), dict(searches).get(False, 0))
+    counts = out.where("kind = 0").groupBy("node").agg(F.sum("n").alias("n"))
+    reach = components(out.where("kind = 1").select("a", "b")).withColumnRenamed("node", "__node")
     named = (nodes.join(counts, "node", "left").join(reach, F.col("node") == F.col("__node"), "left")
              .select("vector", F.coalesce("component", "node").alias("component"),
                      (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links")))

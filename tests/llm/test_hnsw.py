@@ -3,7 +3,8 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from postlens.llm.hnsw import Graph, audited_links, embedding_components, unit
+from postlens.llm import hnsw
+from postlens.llm.hnsw import Graph, audited_links, embedding_components, planted, unit
 
 SCHEMA = "vec_id long, embedding array<float>, label int, component_id int"
 
@@ -82,9 +83,48 @@ def test_links_that_the_sample_lacks_are_found():
     for table in graph.links:
         table[298:] = -1
         table[table >= 298] = -1
-    found, _ = audited_links(graph, v, 0.93, np.arange(0, 290, 10), same=True)
-    assert found[298, 299] and found[299, 298]
+    found, beam = audited_links(graph, v, 0.93, np.arange(0, 290, 10), same=True)
+    # two of 300 nodes can't be reached by any walk
+    assert graph.unreached().tolist() == [298, 299] and found[298, 299] and found[299, 298]
 
 
 def test_no_rows(spark):
     assert embedding_components(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_planted_queries_link():
+    v = unit(np.random.default_rng(1).normal(size=(500, 24)))
+    q = planted(v, 100, 0.93)
+    best = (q @ v.T).max(axis=1)
+    assert len(q) == 100 and best.min() >= 0.93 and best.min() < 0.94 and best.max() > 0.999
+    assert len(planted(v[:3], 100, 0.93)) == 3
+
+
+def test_unlinked_shards_are_answered_by_beams():
+    rng = np.random.default_rng(6)
+    a, b = (unit(rng.normal(size=(3000, 32))) for _ in range(2))
+    found, beam = audited_links(Graph.build(a, np.arange(3000)), b, 0.93, np.arange(150))
+    assert beam < 3000 and not found.any()
+
+
+def test_a_large_label_is_answered_by_beams(spark, monkeypatch):
+    """12,000 vectors of one label in shards: beams, tiles, and a recall of 0.995 or more against brute force."""
+    rng = np.random.default_rng(8)
+    width, families = 24, 3600
+    centers = rng.normal(size=(families, width))
+    sizes = np.minimum(rng.zipf(2.2, families), 40)
+    v = np.repeat(centers, sizes, axis=0)
+    v = np.concatenate([v + rng.normal(scale=0.1, size=v.shape), rng.normal(size=(12_000, width))])[:12_000].astype(np.float32)
+    v = v[rng.permutation(len(v))]
+    ids = np.arange(len(v)) * 3 + 1
+    df = spark.createDataFrame(zip(ids.tolist(), v.tolist(), [0] * len(v)), "vec_id long, embedding array<float>, label int")
+    monkeypatch.setattr(hnsw, "TILE_MOST", 2)
+    kept = {}
+    monkeypatch.setattr(hnsw, "searched", lambda graphs, threshold, f=hnsw.searched: kept.setdefault("found", f(graphs, threshold)))
+    got = {r["vec_id"]: r["n_links"] for r in embedding_components(df, shard_rows=2000).collect()}
+    searches = kept["found"].where("kind = 2").collect()
+    assert len(searches) == 6 * 7 // 2 and all(r["a"] < r["node"] for r in searches)
+    u = v.astype(np.float64) / np.linalg.norm(v.astype(np.float64), axis=1, keepdims=True)
+    want = np.concatenate([(u[k:k + 1000] @ u.T >= 0.93).sum(axis=1) - 1 for k in range(0, len(u), 1000)])
+    found = np.array([got[i] for i in ids.tolist()])
+    assert (found <= want).all() and found.sum() >= 0.995 * want.sum() > 4000
