@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.llm.batches import text_slices
-from postlens.llm.common import staged
+from postlens.llm.common import staged, take_turn
 from postlens.llm.tokens import _PLAIN, _ranks
 
 #: Bytes of text that a task aligns at a time; a longer text is aligned by itself.
@@ -102,9 +102,14 @@ class TwoTokenizers:
 
 
 @lru_cache(maxsize=2)
+def _tokenizers(bpe: str, pieces: str) -> TwoTokenizers:
+    return TwoTokenizers(bpe, pieces)
+
+
 def tokenizers(bpe: str, pieces: str) -> TwoTokenizers:
     """One for each worker process."""
-    return TwoTokenizers(bpe, pieces)
+    take_turn("alignment", _tokenizers.cache_clear)
+    return _tokenizers(bpe, pieces)
 
 
 def _lists(rows: list[bytes]) -> pa.ListArray:

@@ -7,8 +7,10 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,19 @@ WORDS = re.compile(WORD)
 
 
 _shipped: set[str] = set()
+_turn: list = ["", lambda: None]
+
+
+def take_turn(owner: str, forget: Callable[[], None]) -> None:
+    """To be called where an operator's task begins to use what it keeps in its worker process.
+
+    Spark reuses workers from stage to stage. When another owner takes its turn, the one
+    before forgets what it kept, so caches of different operators never add up.
+    """
+    if _turn[0] != owner:
+        _turn[1]()
+        pa.default_memory_pool().release_unused()
+    _turn[:] = owner, forget
 
 
 def ship(spark: SparkSession) -> None:

@@ -10,6 +10,8 @@ from functools import lru_cache
 
 import tiktoken
 
+from postlens.llm.common import take_turn
+
 #: Words of these characters only are tokenized alone, whatever stands around them.
 _PLAIN = re.compile("\n?[\x21-\x7eÀ-ÖØ-öø-ſ]+")
 _CACHED_WORDS = 800_000
@@ -78,6 +80,11 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=2)
+def _encoder(path: str) -> TextEncoder:
+    return TextEncoder(path)
+
+
 def encoder(path: str) -> TextEncoder:
     """One for each worker process."""
-    return TextEncoder(path)
+    take_turn("tokens", _encoder.cache_clear)
+    return _encoder(path)

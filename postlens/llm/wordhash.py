@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 
+from postlens.llm.common import take_turn
+
 #: White space that ends a word; all of it is a single byte in UTF-8.
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -77,6 +79,7 @@ def hash_shingles(words: np.ndarray, size: int) -> np.ndarray:
 
 def chunks(batch: pd.DataFrame, column: str = "text") -> Iterator[tuple[pd.DataFrame, list[str]]]:
     """Rows of a batch with their texts (null: empty), a bounded number of characters at a time."""
+    take_turn("wordhash", _powers.clear)
     texts = batch[column].fillna("").tolist()
     number = (np.cumsum([len(t) for t in texts]) // CHUNK_CHARS) if texts else np.zeros(0, dtype=int)
     for k in np.unique(number):
