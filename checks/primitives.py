@@ -32,7 +32,7 @@ from checks.catalog import (
 )
 from checks.fixtures import FIXTURES, SETTINGS, duckdb_text, fixture, table
 from checks.oracle import LONGS, dbl, div, key_ig, key_tk, num, statement, strip
-from postlens.fixed_values import COLLABORATION, COUNTERS, DELTA_COUNTERS, RATIO_METRICS
+from postlens.fixed_values import COLLABORATION, COUNTERS, DELTA_COUNTERS, NETWORK_VIEWS, RATIO_METRICS
 from postlens.functions import (
     clean_number,
     extract,
@@ -61,7 +61,8 @@ from postlens.operators import (
     zero_fill,
 )
 from postlens.plans import content, posts, scorecard
-from postlens.plans.rebuild import open_region, publish_views, rebuild_regions
+from postlens.plans.rebuild import open_region, publish_views, rebuild, rebuild_regions
+from postlens.plans.stored_views import open_views, store_views
 from postlens.sources import (
     TABLE_LAYOUTS,
     checkpoint_folder,
@@ -145,6 +146,13 @@ def network_views(spark: Spark, sf: str) -> DataFrame:
     return spark.sql(f"SELECT network, count(*) AS posts, sum(likes) AS likes FROM ({rows}) GROUP BY network")
 
 
+def _s05_sql() -> str:
+    views = ["dm_match_content", "dm_match_coverage", "dm_listening", "dm_sentiment", "dm_sov"]
+    counted = [f"SELECT '{n}' AS name, count(*) AS records, CAST({_MEASURES[n]} AS BIGINT) AS total FROM {_BUILT[n]}" for n in views]
+    counted += [f"SELECT 'dw_{n}' AS name, count(*) AS records, CAST(sum(likes) AS BIGINT) AS total FROM m03 WHERE network = '{code}'" for code, n in NETWORK_VIEWS.items()]
+    return " UNION ALL ".join(counted)
+
+
 _BUILT = {
     "post_metrics_raw": "m01", "post_metrics": "m02", "dm_post_performance": "m03", "dm_platform_summary": "m05",
     "dm_match_content": "m06", "dm_match_coverage": "m07", "dm_format_performance": "m08",
@@ -179,6 +187,23 @@ def _region_sql(region: str) -> str:
     ), own) + ")"
 
 
+@query("s05_stored_views", _s05_sql())
+def stored_views(spark: Spark, sf: str) -> DataFrame:
+    """All ten views from their stored SQL, over a region rebuilt from files."""
+    base, out = _folder(spark, "sheets"), _folder(spark, "region")
+    sources = {"post_metrics": source(spark, sf, "fx_post_metrics")}
+    for name in FIXTURES:
+        if name not in ("fx_post_metrics", "fx_platform_posts"):
+            sheet = name.removeprefix("fx_")
+            fixture(spark, sf, name).write.parquet(f"{base}/{sheet}")
+            sources[sheet] = spark.read.parquet(f"{base}/{sheet}")
+    rebuild(sources, out, SETTINGS)
+    open_views(spark, store_views(spark, base, out, SETTINGS, prefix="stored_"))
+    names = ["dm_match_content", "dm_match_coverage", "dm_listening", "dm_sentiment", "dm_sov", *[f"dw_{n}" for n in NETWORK_VIEWS.values()]]
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{n}' AS name, count(*) AS records, CAST({_MEASURES.get(n, 'sum(likes)')} AS BIGINT) AS total FROM stored_{n}" for n in names))
+
+
 @query("s06_region_rebuild", " UNION ALL ".join(map(_region_sql, _REGION_ROWS)))
 def region_rebuild(spark: Spark, sf: str) -> DataFrame:
     """Every model of two regions with rows of their own, built at the same time, opened and added up."""

@@ -74,6 +74,7 @@ def region_views(performance: DataFrame, sources: Mapping[str, DataFrame], setti
 class OpenTables(dict[str, DataFrame]):
     """Tables of a run by name. They stay readable until ``hold`` is released or its time is over."""
 
+    run: str
     hold: Hold
 
 
@@ -141,7 +142,7 @@ def latest_tables(spark: SparkSession, region: str, hold_hours: float = HOLD_HOU
     schemas = {name: T.StructType.fromJson(json.loads(s)) for name, s in schemas_of(spark, region, run).items()}
     tables = OpenTables({part: read_landed_part(spark, f"{region}/{run}/{LANDED}", schemas[READABLE], part) for part in (READABLE, REJECTED)})
     tables |= {name: read_table(spark, f"{region}/{run}/{name}", schema) for name, schema in schemas.items() if name != READABLE}
-    tables.hold = hold
+    tables.run, tables.hold = run, hold
     return tables
 
 

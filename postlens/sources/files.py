@@ -40,3 +40,18 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or a folder with all it holds; nothing happens if it is not there."""
     files, place = _at(spark, path)
     files.delete(place, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file; a reader may find none for the moment in which it is replaced."""
+    files, place = _at(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.new")
+    out = files.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(place, False)
+    files.rename(new, place)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
