@@ -9,6 +9,7 @@ import json
 import sys
 
 from postlens.plans.rebuild import rebuild
+from postlens.plans.stored_views import store_views
 from postlens.settings import Settings
 from postlens.sources import build_session, read_sources
 
@@ -19,6 +20,7 @@ def main(base: str, out: str, settings_file: str) -> None:
     spark = build_session()
     sources = read_sources(spark, base, settings)
     rebuild(sources, out, settings)
+    store_views(spark, base, out, settings)
     spark.stop()
 
 
