@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from urllib.parse import urlparse
@@ -63,7 +63,8 @@ def _sum_by_key(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]
 def _folder(spark: SparkSession, folder: str | None) -> str:
     """A new folder for a model; workers open its files, so it must be mounted on every machine."""
     place = urlparse(folder or checkpoint_folder(spark))
-    if place.scheme not in ("", "file"):
+    # without a scheme Spark takes a path for one of its default file system
+    if (place.scheme or urlparse(spark._jsc.hadoopConfiguration().get("fs.defaultFS")).scheme) not in ("", "file"):
         raise ValueError("a model is memory-mapped: name a folder that every machine mounts, not an object store")
     path = os.path.join(place.path, f"kneser-ney-{uuid.uuid4().hex}")
     os.makedirs(path)
@@ -299,6 +300,8 @@ def train(docs: DataFrame, folder: str | None = None, shards: int | None = None)
     shards = shards or shuffle_width(spark)
     folder = _folder(spark, folder)
     v = count_vocabulary(docs, folder, shards)
+    if v.size >= 2**32 - 1:
+        raise OverflowError("a pair's key has 32 bits for each word: 4,294,967,294 different words at most")
     if not v.size:
         return Model(v, Discounts.of([0] * 4), Discounts.of([0] * 4), 0, (0, 0, 0))
 
@@ -310,7 +313,7 @@ def train(docs: DataFrame, folder: str | None = None, shards: int | None = None)
     def by_word(kind: str, ids: np.ndarray, table: np.ndarray) -> pd.DataFrame:
         """The rows of ``table`` for these ascending ids, by shard of the dense tables."""
         cuts = np.searchsorted(ids, [_id_bounds(v, k)[0] for k in range(v.shards)] + [v.size + 1])
-        return pd.DataFrame([(kind, k, _pack_sorted(ids[a:b]), _pack(table[a:b].astype(np.uint32).ravel()), None)
+        return pd.DataFrame([(kind, k, _pack_sorted(ids[a:b]), _pack(table[a:b].astype(np.int64).ravel()), None)
                              for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a], columns=["kind", "shard", "ids", "values", "n"])
 
     def write_pairs(blobs: pd.DataFrame) -> pd.DataFrame:
@@ -336,10 +339,8 @@ def train(docs: DataFrame, folder: str | None = None, shards: int | None = None)
         kind, shard = blobs["kind"].iloc[0], int(blobs["shard"].iloc[0])
         low, high = _id_bounds(v, shard)
         width = 4 if kind == "before" else 1
-        table = np.zeros((high - low, width), dtype=np.int64)
-        for ids, values in zip(blobs["ids"], blobs["values"]):
-            table[(_unpack_sorted(ids) - np.uint64(low)).astype(np.int64)] += _unpack(values, np.uint32).reshape(-1, width)
-        _save(folder, f"{kind}-{shard}", table.astype(np.uint32))
+        table = added(low, high, width, blobs["ids"], blobs["values"])
+        _save(folder, f"{kind}-{shard}", table)
         n = [int((table == k).sum()) for k in (1, 2, 3, 4)] + [int((table > 0).sum())] if kind == "after" else [0] * 5
         return pd.DataFrame({"kind": [kind], "shard": [shard], "n": [n]})
 
@@ -347,12 +348,20 @@ def train(docs: DataFrame, folder: str | None = None, shards: int | None = None)
     for kind in ("before", "after"):
         for k in set(range(shards)) - {r["shard"] for r in dense if r["kind"] == kind}:
             low, high = _id_bounds(v, k)
-            _save(folder, f"{kind}-{k}", np.zeros((high - low, 4 if kind == "before" else 1), dtype=np.uint32))
+            _save(folder, f"{kind}-{k}", np.zeros((high - low, 4 if kind == "before" else 1), dtype=np.int64))
     pairs = np.sum([r["n"] for r in stats.where("kind = 'n'").select("n").collect()], axis=0).tolist()
     after = np.sum([r["n"] for r in dense], axis=0).tolist()
     return Model(v, Discounts.of(pairs[:4]), Discounts.of(after[:4]), pairs[4], (after[0], after[1], after[4] - after[0] - after[1]))
 
 
+def added(low: int, high: int, width: int, ids: Iterable[bytes], values: Iterable[bytes]) -> np.ndarray:
+    """The sums, in 64 bits, of packed rows by their packed ids from ``low`` up to ``high``."""
+    table = np.zeros((high - low, width), dtype=np.int64)
+    for i, v in zip(ids, values):
+        table[(_unpack_sorted(i) - np.uint64(low)).astype(np.int64)] += _unpack(v, np.int64).reshape(-1, width)
+    return table
+
+
 def _before(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
     """The id before each token; texts begin after a start of their own."""
     out = np.concatenate(([start], ids[:-1]))

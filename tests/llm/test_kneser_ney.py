@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from postlens.llm import kneser_ney
@@ -89,3 +90,24 @@ def test_nothing_to_learn_from(spark):
 def test_a_model_needs_a_mounted_folder(spark):
     with pytest.raises(ValueError, match="mounts"):
         kneser_ney._folder(spark, "s3a://bucket/models")
+
+
+def test_totals_above_32_bits():
+    rows = np.array([[5_000_000_000, 1, 2, 3], [2**40, 0, 0, 7]], dtype=np.int64)
+    ids = np.array([12, 14], dtype=np.uint64)
+    packed = kneser_ney._pack_sorted(ids), kneser_ney._pack(rows.ravel())
+    table = kneser_ney.added(10, 16, 4, [packed[0]] * 2, [packed[1]] * 2)
+    assert table[2].tolist() == [10_000_000_000, 2, 4, 6] and table[4].tolist() == [2**41, 0, 0, 14] and table.sum() == 2 * rows.sum()
+
+
+def test_a_path_of_another_file_system_is_refused():
+    class Conf:
+        def get(self, key):
+            return "hdfs://name"
+
+    class Session:
+        _jsc = type("Context", (), {"hadoopConfiguration": staticmethod(Conf)})
+
+    for folder in ("/models", "s3://bucket/models"):
+        with pytest.raises(ValueError, match="mounts"):
+            kneser_ney._folder(Session(), folder)
