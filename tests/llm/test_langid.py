@@ -1,11 +1,23 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from postlens.llm.langid import UNDETERMINED, codewords, identify_language, train_language_id
+from postlens.llm.langid import (
+    AMBIGUOUS_MARGIN,
+    BITS,
+    FEATURES,
+    ORDERS,
+    UNDETERMINED,
+    LanguageModel,
+    codewords,
+    identify_language,
+    train_language_id,
+)
 
 SCHEMA = "doc_id long, text string, lang string, `__lang` string"
 
@@ -61,3 +73,58 @@ def test_stage_drops_ambiguous_texts_and_no_clean_ones(spark):
     odd = [(-1, "ภาษาไทยเป็นภาษาที่มี " * 9, None), (-2, "Η γλώσσα είναι ένα σύστημα επικοινωνίας " * 5, None), (-3, "12 34", None)]
     kept = corpus_pipeline.identified(spark, docs.unionByName(spark.createDataFrame(odd, docs.schema)), "")
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def plain_features(text: str) -> np.ndarray:
+    """Shares of hashed n-grams, one n-gram at a time."""
+    letters = [p if p >= 0xAA or 97 <= p <= 122 else 32 for p in map(ord, text.lower())]
+    out = np.zeros(FEATURES)
+    for at, order in enumerate(ORDERS):
+        found = []
+        padded = [*letters, 32]
+        for k in range(len(letters) - order + 2):
+            gram = padded[k:k + order]
+            if gram[0] == 32 and (order == 1 or gram[1] == 32):
+                continue
+            h = 0
+            for p in gram:
+                h = (h * 0x01000193 + p) % 2**32
+            found.append((h * 0x9E3779B1 % 2**32) >> (32 - BITS))
+        for slot in found:
+            out[(at << BITS) + slot] += 1 / len(found)
+    return np.sqrt(out)
+
+
+def decoded(model, features: np.ndarray) -> tuple[str, float, bool]:
+    """Losses of all codewords, bit by bit."""
+    losses = []
+    for word in model.code:
+        total = 0.0
+        for bit in range(len(word)):
+            margin = float(features @ model.weights[:, bit].astype(np.float64)) + float(model.bias[bit])
+            total += model.trust[bit] * math.log1p(math.exp(-margin * word[bit]))
+        losses.append(total / sum(model.trust))
+    ranked = sorted(range(len(losses)), key=lambda k: (losses[k], k))
+    chance = 1 / sum(math.exp(-(x - losses[ranked[0]]) * sum(model.trust)) for x in losses)
+    return model.languages[ranked[0]], chance, losses[ranked[1]] - losses[ranked[0]] < AMBIGUOUS_MARGIN
+
+
+def test_predictions_against_a_plain_decoder(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = train_language_id(docs, per_language=30)
+    more = [(900, "Straße, 数学 und mehr!", None), (901, "word " * 40_000, None), (902, "a", None), (903, "12 .. 34", None), (904, None, None), (905, "ab ab", None), (906, "ab ab", None)]
+    rows = docs.where("doc_id % 7 = 0").unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string"))
+    for r in identify_language(rows, model).collect():
+        if r["text"] is None or not any(c.isalpha() for c in r["text"]):
+            assert (r["__lang"], r["__lang_score"], r["__ambiguous"]) == (UNDETERMINED, 0.0, False)
+            continue
+        lang, score, near = decoded(model, plain_features(r["text"]))
+        assert r["__lang"] == lang and abs(r["__lang_score"] - score) < 1e-3 and r["__ambiguous"] == near
+
+
+def test_equally_near_codewords():
+    """Without any feature all codewords of a model without bias are as near: the first by name wins, and it is flagged."""
+    code = codewords(3)
+    model = LanguageModel(("aa", "bb", "cc"), code, np.zeros((FEATURES, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32), np.ones(code.shape[1]))
+    best, score, near = model.decode(np.zeros((2, FEATURES), np.float32))
+    assert best.tolist() == [0, 0] and score == pytest.approx([1 / 3] * 2) and near.tolist() == [True, True]

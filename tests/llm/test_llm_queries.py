@@ -58,7 +58,17 @@ def test_pipeline_on_odd_documents(spark, kind):
     text = "The cat sat on the mat. " * 20
     rows = [] if kind == "empty" else [(None, text, None, None, 3), (1, None, "en", "a", None), (2, "", None, "a", 0), (3, text, "en", None, 9),
                                        (3, text, "en", None, 9), (4, text + "and more.", "en", "a", 9), (5, "12 34", "de", "b", 5)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for _, stage in corpus_pipeline.STAGES:
+    # names that the stages use themselves
+    fields = "doc_id long, text string, lang string, source string, n_chars long, node string, kind int, `key` string"
+    docs = spark.createDataFrame([(*r, "n", 1, "k") for r in rows], fields)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
-    assert docs.count() == (0 if kind == "empty" else docs.count()) and "sequence_id" in docs.columns
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "node", "kind", "key"]
+    docs = docs.cache()
+    words = docs.select(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
+    pieces = corpus_pipeline.packing(spark, docs, SF)
+    if kind == "empty":
+        assert pieces.count() == 0
+    else:  # the text without an id and the first of its copies with one are left, blank texts carry nothing
+        assert {r["doc_id"] for r in docs.collect()} <= {None, 3, 4} and docs.count() > 0
+        assert pieces.agg(F.sum("length")).first()[0] >= words
