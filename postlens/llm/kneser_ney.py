@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postlens.llm.common import shuffle_width, staged
 from postlens.llm.wordhash import chunks, hash_words, mix
@@ -22,9 +23,12 @@ from postlens.sources import checkpoint_folder
 END = np.uint64(0x8F1BBCDCBFA53E0B)
 #: Tokens that a task counts before it sorts and sends them.
 BUFFER = 2_000_000
-#: Counts of this or more lie in an array of their own.
+#: Numbers of this or more lie in an array of their own.
 LARGE = 255
+#: Entries of a table that share a bucket, on average.
+BUCKET = 8
 _ID = np.uint64(32)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 # ---- sorted arrays as bytes
@@ -79,7 +83,7 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(part, os.path.join(folder, f"{name}.npy"))
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=8192)
 def _array(folder: str, name: str) -> np.ndarray:
     return np.load(os.path.join(folder, f"{name}.npy"), mmap_mode="r")
 
@@ -89,6 +93,64 @@ def _shard_of_hash(h: np.ndarray, shards: int) -> np.ndarray:
     return ((h >> _ID) * np.uint64(shards) >> _ID).astype(np.int64)
 
 
+def _save_table(folder: str, name: str, hashes: np.ndarray, values: np.ndarray) -> None:
+    """Rows of numbers by a hash, sorted by it.
+
+    The upper bits of a hash are its bucket, whose start is kept; the next 32 are kept
+    themselves. Rows of small numbers take a byte for each, others lie apart in 64 bits.
+    """
+    bits = max(0, (len(hashes) // BUCKET).bit_length())
+    order = np.argsort(hashes)
+    hashes, values = hashes[order], values[order]
+    starts = np.searchsorted(_bucket(hashes, bits), np.arange(2**bits + 1))
+    big = np.flatnonzero((values >= LARGE).any(axis=1))
+    _save(folder, f"{name}-starts", starts.astype(np.uint32 if len(hashes) < 2**32 else np.uint64))
+    _save(folder, f"{name}-hashes", _within(hashes, bits))
+    _save(folder, f"{name}-values", np.minimum(values, LARGE).astype(np.uint8))
+    _save(folder, f"{name}-big", np.column_stack([big, values[big]]).astype(np.int64))
+
+
+def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), dtype=np.int64)
+
+
+def _within(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return ((hashes << np.uint64(bits)) >> _ID).astype(np.uint32)
+
+
+def _look_up(folder: str, name: str, hashes: np.ndarray, width: int) -> np.ndarray:
+    """The rows of these hashes; zeros for those that the table doesn't have."""
+    if not os.path.exists(os.path.join(folder, f"{name}-big.npy")):  # written last
+        return np.zeros((len(hashes), width), dtype=np.int64)
+    starts, kept = _array(folder, f"{name}-starts"), _array(folder, f"{name}-hashes")
+    bits = (len(starts) - 1).bit_length() - 1
+    bucket, want = _bucket(hashes, bits), _within(hashes, bits)
+    low, end = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
+    high = end.copy()
+    while (low < high).any():  # a binary search in all buckets at once
+        middle = (low + high) // 2
+        less = (low < high) & (kept[np.minimum(middle, len(kept) - 1)] < want)
+        low, high = np.where(less, middle + 1, low), np.where(less, high, np.minimum(middle, high))
+    at = np.minimum(low, len(kept) - 1)
+    found = (low < end) & (kept[at] == want)
+    out = np.where(found[:, None], _array(folder, f"{name}-values")[at], 0).astype(np.int64)
+    large = np.flatnonzero((out == LARGE).any(axis=1))
+    if len(large):
+        big = _array(folder, f"{name}-big")
+        out[large] = big[np.searchsorted(big[:, 0], at[large]), 1:]
+    return out
+
+
+def _look_up_shards(folder: str, name: str, hashes: np.ndarray, shard: np.ndarray, shards: int, width: int) -> np.ndarray:
+    out = np.zeros((len(hashes), width), dtype=np.int64)
+    order = np.argsort(shard, kind="stable")
+    bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+    for k in np.flatnonzero(np.diff(bounds)):
+        here = order[bounds[k]:bounds[k + 1]]
+        out[here] = _look_up(folder, f"{name}-{k}", hashes[here], width)
+    return out
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     folder: str
@@ -97,6 +159,10 @@ class Vocabulary:
     first: tuple[int, ...]
     size: int
     tokens: int
+    #: The ids of words (the start is one) that have more than a shard's share of all tokens, ascending,
+    #: and to how many parts their triples are dealt; at most as many as there are shards.
+    hot: tuple[int, ...] = ()
+    parts: tuple[int, ...] = ()
 
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and counts of these words."""
@@ -145,6 +211,8 @@ class Model:
     #: Distinct pairs, and of how many words that follow 1, 2, 3 or more different ones.
     distinct_pairs: int
     followed: tuple[int, int, int]
+    #: Of the highest order, in a model of order three.
+    triples: Discounts | None = None
 
     def word_chances(self, ids: np.ndarray) -> np.ndarray:
         """The lower order: by how many different words a word follows, over all words and one unknown one."""
@@ -156,17 +224,29 @@ class Model:
         after = _dense(v, "after", ids)[:, 0]
         return np.maximum(after - self.words.off(after), 0) / self.distinct_pairs + kept * unknown
 
-    def chances(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """P(word | the word before); -1 stands for unknown words, the size of the vocabulary for the start."""
+    def pair_chances(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """By the word before; in a model of order three a pair counts as often as different words come before it."""
         lower = self.word_chances(ids)
         if not self.distinct_pairs:
             return lower
-        counts = _pair_counts(self.vocabulary, before, ids)
-        total, n1, n2, n3 = _dense(self.vocabulary, "before", before).T
-        seen = total > 0
-        taken = self.pairs.values[1] * n1 + self.pairs.values[2] * n2 + self.pairs.values[3] * n3
-        own = np.maximum(counts - self.pairs.off(counts), 0)
-        return np.where(seen, (own + taken * lower) / np.maximum(total, 1), lower)
+        return _interpolated(self.pairs, _pair_counts(self.vocabulary, before, ids), _dense(self.vocabulary, "before", before), lower)
+
+    def chances(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """P(word | the words before) for all tokens of some texts; -1 stands for unknown words."""
+        before = _before(ids, ends, self.vocabulary.size)
+        lower = self.pair_chances(before, ids)
+        if self.triples is None or not self.distinct_pairs:
+            return lower
+        counts, contexts = _triple_counts(self.vocabulary, _before(before, ends, self.vocabulary.size), before, ids)
+        return _interpolated(self.triples, counts, contexts, lower)
+
+
+def _interpolated(discounts: Discounts, counts: np.ndarray, contexts: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """What is taken off the counts of a context goes to the lower order; a context never seen leaves all to it."""
+    total, n1, n2, n3 = contexts.T
+    taken = discounts.values[1] * n1 + discounts.values[2] * n2 + discounts.values[3] * n3
+    own = np.maximum(counts - discounts.off(counts), 0)
+    return np.where(total > 0, (own + taken * lower) / np.maximum(total, 1), lower)
 
 
 def _dense(v: Vocabulary, name: str, ids: np.ndarray) -> np.ndarray:
@@ -197,25 +277,42 @@ def _shard_of_pair(keys: np.ndarray, shards: int) -> np.ndarray:
     return _shard_of_hash(mix(keys), shards)
 
 
+def _table_hash(keys: np.ndarray) -> np.ndarray:
+    """Another hash of a pair than the one that deals it, one to one."""
+    return mix(keys * _ODD + np.uint64(1))
+
+
+def _triple_hash(contexts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    return mix(_table_hash(contexts) + ids.astype(np.uint64) * _ODD)
+
+
+def _shard_of_triple(v: Vocabulary, contexts: np.ndarray) -> np.ndarray:
+    """By the middle word, so that both pairs of a triple are counted where it lies; a hot word's by the first word too."""
+    middle, first = contexts >> _ID, contexts & np.uint64(0xFFFFFFFF)
+    part = np.zeros(len(contexts), dtype=np.uint64)
+    if v.hot:
+        hot, parts = np.array(v.hot, dtype=np.uint64), np.array(v.parts, dtype=np.uint64)
+        place = np.minimum(np.searchsorted(hot, middle), len(hot) - 1)
+        part = np.where(hot[place] == middle, mix(first) % parts[place], part)
+    return _shard_of_hash(mix(middle * _ODD + part), v.shards)
+
+
+def _triple_counts(v: Vocabulary, first: np.ndarray, middle: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each triple was seen, and what is known of its first two words (as in ``_dense``)."""
+    counts, known = np.zeros(len(ids), dtype=np.int64), np.zeros((len(ids), 4), dtype=np.int64)
+    rows = np.flatnonzero((first >= 0) & (middle >= 0))
+    contexts = _pair_keys(middle[rows], first[rows])
+    shard = _shard_of_triple(v, contexts)
+    known[rows] = _look_up_shards(v.folder, "contexts", _table_hash(contexts), shard, v.shards, 4)
+    whole = np.flatnonzero(ids[rows] >= 0)
+    counts[rows[whole]] = _look_up_shards(v.folder, "triples", _triple_hash(contexts[whole], ids[rows[whole]]), shard[whole], v.shards, 1)[:, 0]
+    return counts, known
+
+
 def _pair_counts(v: Vocabulary, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
     known = np.flatnonzero((before >= 0) & (ids >= 0))
     distinct, at = np.unique(_pair_keys(before[known], ids[known]), return_inverse=True)
-    counts = np.zeros(len(distinct), dtype=np.int64)
-    shard = _shard_of_pair(distinct, v.shards)
-    by_shard = np.argsort(shard, kind="stable")
-    bounds = np.searchsorted(shard[by_shard], np.arange(v.shards + 1))
-    for k in np.flatnonzero(np.diff(bounds)):
-        here = by_shard[bounds[k]:bounds[k + 1]]
-        if not os.path.exists(os.path.join(v.folder, f"pairs-{k}.npy")):
-            continue
-        keys, small = _array(v.folder, f"pairs-{k}"), _array(v.folder, f"pair_counts-{k}")
-        place = np.minimum(np.searchsorted(keys, distinct[here]), len(keys) - 1)
-        found = np.where(keys[place] == distinct[here], small[place], 0).astype(np.int64)
-        large = np.flatnonzero(found == LARGE)
-        if len(large):
-            row = np.searchsorted(_array(v.folder, f"large_keys-{k}"), distinct[here][large])
-            found[large] = _array(v.folder, f"large_counts-{k}")[row]
-        counts[here] = found
+    counts = _look_up_shards(v.folder, "pairs", _table_hash(distinct), _shard_of_pair(distinct, v.shards), v.shards, 1)[:, 0]
     out = np.zeros(len(ids), dtype=np.int64)
     out[known] = counts[at]
     return out
@@ -270,32 +367,113 @@ def _count(docs: DataFrame, keys_of, shard_of, shards: int) -> DataFrame:
     return docs.select("text").mapInPandas(count, "shard int, keys binary, counts binary")
 
 
+def _count_triples(docs: DataFrame, v: Vocabulary) -> DataFrame:
+    """Triples of all texts, counted in each task as it goes, then dealt by shard."""
+    def blobs(held: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        contexts, ids, counts = _sum_triples(np.concatenate([c for c, _ in held]), np.concatenate([i for _, i in held]))
+        shard = _shard_of_triple(v, contexts)
+        order = np.argsort(shard, kind="stable")
+        bounds = np.searchsorted(shard[order], np.arange(v.shards + 1))
+        rows = []
+        for k in np.flatnonzero(np.diff(bounds)):
+            here = order[bounds[k]:bounds[k + 1]]
+            rows.append((k, _pack_sorted(contexts[here]), _pack(ids[here]), _pack(counts[here].astype(np.uint32))))
+        return pd.DataFrame(rows, columns=["shard", "contexts", "ids", "counts"])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for batch in batches:
+            for _, texts in chunks(batch):
+                tokens, ends = _token_hashes(texts)
+                ids = v.ids(tokens)[0]
+                before = _before(ids, ends, v.size)
+                held.append((_pair_keys(before, _before(before, ends, v.size)), ids.astype(np.uint32)))
+                n += len(ids)
+                if n >= BUFFER:
+                    yield blobs(held)
+                    held, n = [], 0
+        if n:
+            yield blobs(held)
+
+    return docs.select("text").mapInPandas(count, "shard int, contexts binary, ids binary, counts binary")
+
+
+def _sum_triples(contexts: np.ndarray, ids: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct triples, by the context and then the word, and their counts (once each if none are given)."""
+    order = np.lexsort((ids, contexts))
+    contexts, ids = contexts[order], ids[order]
+    first = np.flatnonzero(np.concatenate(([True], (contexts[1:] != contexts[:-1]) | (ids[1:] != ids[:-1]))))
+    added = np.diff(first, append=len(ids)) if counts is None else np.add.reduceat(counts[order], first)
+    return contexts[first], ids[first], added
+
+
+def _stats(counts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The total of each run of counts, and how many are 1, 2, and 3 or more."""
+    return np.column_stack([np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts >= 3)])
+
+
+def _how_many(counts: np.ndarray) -> list[int]:
+    return [int((counts == k).sum()) for k in (1, 2, 3, 4)] + [len(counts)]
+
+
+def _pairs_of_triples(docs: DataFrame, v: Vocabulary) -> DataFrame:
+    """Write all triples and what is known of their first two words; pairs, by how many different words come before them, remain.
+
+    A row with ``n`` counts triples of a shard by their counts.
+    """
+    def write(blobs: pd.DataFrame) -> pd.DataFrame:
+        shard = int(blobs["shard"].iloc[0])
+        contexts, ids, counts = _sum_triples(*[np.concatenate(x) for x in (
+            [_unpack_sorted(b) for b in blobs["contexts"]], [_unpack(b, np.uint32) for b in blobs["ids"]],
+            [_unpack(b, np.uint32).astype(np.int64) for b in blobs["counts"]])])
+        first = np.flatnonzero(np.concatenate(([True], contexts[1:] != contexts[:-1])))
+        _save_table(v.folder, f"contexts-{shard}", _table_hash(contexts[first]), _stats(counts, first))
+        _save_table(v.folder, f"triples-{shard}", _triple_hash(contexts, ids), counts[:, None])
+        pairs, times = np.unique((contexts >> _ID << _ID) | ids, return_counts=True)
+        out = _blobs(pairs, times, _shard_of_pair(pairs, v.shards), v.shards)
+        return pd.concat([out.assign(n=None), pd.DataFrame({"shard": [shard], "keys": [None], "counts": [None], "n": [_how_many(counts)]})])
+
+    return _count_triples(docs, v).groupBy("shard").applyInPandas(write, "shard int, keys binary, counts binary, n array<long>")
+
+
 def count_vocabulary(docs: DataFrame, folder: str, shards: int) -> Vocabulary:
     def write(blobs: pd.DataFrame) -> pd.DataFrame:
         shard = int(blobs["shard"].iloc[0])
         keys, counts = _merged(blobs)
         _save(folder, f"words-{shard}", keys)
         _save(folder, f"counts-{shard}", counts)
-        return pd.DataFrame({"shard": [shard], "words": [len(keys)], "tokens": [int(counts.sum())]})
+        often = np.flatnonzero(counts * shards > counts.sum())
+        return pd.DataFrame({"shard": [shard], "words": [len(keys)], "tokens": [int(counts.sum())], "texts": [int(counts[keys == END].sum())],
+                             "places": [often], "times": [counts[often]]})
 
     found = _count(docs, lambda texts: _token_hashes(texts)[0], _shard_of_hash, shards)
-    rows = found.groupBy("shard").applyInPandas(write, "shard int, words long, tokens long").collect()  # a row per shard
+    found = staged(found.groupBy("shard").applyInPandas(
+        write, "shard int, words long, tokens long, texts long, places array<long>, times array<long>"), "vocabulary")
+    rows = found.select("shard", "words", "tokens", "texts").collect()  # a row per shard
     sizes = np.zeros(shards, dtype=np.int64)
     for r in rows:
         sizes[r["shard"]] = r["words"]
     first = np.concatenate(([0], np.cumsum(sizes)))
-    return Vocabulary(folder, shards, tuple(first[:-1].tolist()), int(first[-1]), sum(r["tokens"] for r in rows))
+    size, tokens, texts = int(first[-1]), sum(r["tokens"] for r in rows), sum(r["texts"] for r in rows)
+    often = found.select("shard", F.inline(F.arrays_zip("places", "times"))).where(F.col("times") * shards > tokens).collect()  # fewer than shards
+    hot = sorted([(int(first[r["shard"]]) + r["places"], r["times"]) for r in often] + [(size, texts)] * (texts * shards > tokens))
+    return Vocabulary(folder, shards, tuple(first[:-1].tolist()), size, tokens,
+                      tuple(i for i, _ in hot), tuple(-(-n * shards // tokens) for _, n in hot))
 
 
-def train(docs: DataFrame, folder: str | None = None, shards: int | None = None) -> Model:
-    """Count (text) rows, all of them, into a model of order two.
+def train(docs: DataFrame, folder: str | None = None, shards: int | None = None, order: int = 3) -> Model:
+    """Count (text) rows, all of them, into a model of order two or three.
 
     Null texts are empty: they count an end. Words are numbered by hash. Pairs of ids are
     dealt by a hash of the pair, so a frequent word's pairs lie in all shards;
-    what is known of a word's pairs is added up afterwards. ``shards`` should grow with
+    what is known of a word's pairs is added up afterwards. Triples are dealt by their
+    middle word, a hot word's by the first one as well; pairs then count by the
+    different words before them, and texts aren't read for them. ``shards`` should grow with
     the input (default: Spark's shuffle partitions); a task merges one. The files go to a
     new folder under ``folder`` (default: the shared checkpoint folder). Only a few numbers per shard come to the driver.
     """
+    if order not in (2, 3):
+        raise ValueError("a model is of order 2 or 3")
     spark = docs.sparkSession
     shards = shards or shuffle_width(spark)
     folder = _folder(spark, folder)
@@ -303,7 +481,7 @@ def train(docs: DataFrame, folder: str | None = None, shards: int | None = None)
     if v.size >= 2**32 - 1:
         raise OverflowError("a pair's key has 32 bits for each word: 4,294,967,294 different words at most")
     if not v.size:
-        return Model(v, Discounts.of([0] * 4), Discounts.of([0] * 4), 0, (0, 0, 0))
+        return Model(v, *[Discounts.of([0] * 4)] * 2, 0, (0, 0, 0))
 
     def pair_keys(texts: list[str]) -> np.ndarray:
         tokens, ends = _token_hashes(texts)
@@ -316,23 +494,28 @@ def train(docs: DataFrame, folder: str | None = None, shards: int | None = None)
         return pd.DataFrame([(kind, k, _pack_sorted(ids[a:b]), _pack(table[a:b].astype(np.int64).ravel()), None)
                              for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a], columns=["kind", "shard", "ids", "values", "n"])
 
+    def counted(kind: str, n: list[int]) -> pd.DataFrame:
+        return pd.DataFrame({"kind": [kind], "shard": [0], "ids": [None], "values": [None], "n": [n]})
+
     def write_pairs(blobs: pd.DataFrame) -> pd.DataFrame:
-        shard = int(blobs["shard"].iloc[0])
+        shard, of_triples = int(blobs["shard"].iloc[0]), blobs["keys"].isna()
+        passed = [counted("triples", n) for n in blobs.loc[of_triples, "n"]]
+        blobs = blobs[~of_triples]
+        if not len(blobs):
+            return pd.concat(passed)
         keys, counts = _merged(blobs)
-        large = counts >= LARGE
-        _save(folder, f"large_keys-{shard}", keys[large])
-        _save(folder, f"large_counts-{shard}", counts[large])
-        _save(folder, f"pair_counts-{shard}", np.minimum(counts, LARGE).astype(np.uint8))
-        _save(folder, f"pairs-{shard}", keys)
+        _save_table(folder, f"pairs-{shard}", _table_hash(keys), counts[:, None])
         before, word = keys >> _ID, np.sort(keys & np.uint64(0xFFFFFFFF))
         first = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
-        stats = np.column_stack([np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts >= 3)])
         words, times = np.unique(word, return_counts=True)
-        how_many = [int((counts == k).sum()) for k in (1, 2, 3, 4)] + [len(counts)]
-        return pd.concat([by_word("before", before[first], stats), by_word("after", words, times[:, None]),
-                          pd.DataFrame({"kind": ["n"], "shard": [0], "ids": [None], "values": [None], "n": [how_many]})])
-
-    stats = staged(_count(docs, pair_keys, _shard_of_pair, shards).groupBy("shard").applyInPandas(
+        return pd.concat([by_word("before", before[first], _stats(counts, first)), by_word("after", words, times[:, None]),
+                          counted("pairs", _how_many(counts)), *passed])
+
+    if order == 2:
+        counts = _count(docs, pair_keys, _shard_of_pair, shards).withColumn("n", F.lit(None).cast("array<long>"))
+    else:
+        counts = _pairs_of_triples(docs, v)
+    stats = staged(counts.groupBy("shard").applyInPandas(
         write_pairs, "kind string, shard int, ids binary, values binary, n array<long>"), "pair_stats")
 
     def write_dense(blobs: pd.DataFrame) -> pd.DataFrame:
@@ -344,14 +527,18 @@ def train(docs: DataFrame, folder: str | None = None, shards: int | None = None)
         n = [int((table == k).sum()) for k in (1, 2, 3, 4)] + [int((table > 0).sum())] if kind == "after" else [0] * 5
         return pd.DataFrame({"kind": [kind], "shard": [shard], "n": [n]})
 
-    dense = stats.where("kind <> 'n'").groupBy("kind", "shard").applyInPandas(write_dense, "kind string, shard int, n array<long>").collect()
+    dense = stats.where("n IS NULL").groupBy("kind", "shard").applyInPandas(write_dense, "kind string, shard int, n array<long>").collect()
     for kind in ("before", "after"):
         for k in set(range(shards)) - {r["shard"] for r in dense if r["kind"] == kind}:
             low, high = _id_bounds(v, k)
             _save(folder, f"{kind}-{k}", np.zeros((high - low, 4 if kind == "before" else 1), dtype=np.int64))
-    pairs = np.sum([r["n"] for r in stats.where("kind = 'n'").select("n").collect()], axis=0).tolist()
+    n = {"pairs": np.zeros(5, dtype=np.int64), "triples": np.zeros(5, dtype=np.int64)}
+    for r in stats.where("n IS NOT NULL").select("kind", "n").collect():  # at most two rows per shard
+        n[r["kind"]] += r["n"]
+    pairs, triples = n["pairs"].tolist(), n["triples"].tolist()
     after = np.sum([r["n"] for r in dense], axis=0).tolist()
-    return Model(v, Discounts.of(pairs[:4]), Discounts.of(after[:4]), pairs[4], (after[0], after[1], after[4] - after[0] - after[1]))
+    return Model(v, Discounts.of(pairs[:4]), Discounts.of(after[:4]), pairs[4], (after[0], after[1], after[4] - after[0] - after[1]),
+                 Discounts.of(triples[:4]) if order == 3 else None)
 
 
 def added(low: int, high: int, width: int, ids: Iterable[bytes], values: Iterable[bytes]) -> np.ndarray:
@@ -385,7 +572,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for rows, texts in chunks(batch):
                 tokens, ends = _token_hashes(texts)
                 ids, counts = v.ids(tokens)
-                logs = np.log10(model.chances(_before(ids, ends, v.size), ids))
+                logs = np.log10(model.chances(ids, ends))
                 first = np.concatenate(([0], ends[:-1] + 1))
                 n = ends + 1 - first
                 total = np.add.reduceat(logs, first)

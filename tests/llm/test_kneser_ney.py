@@ -20,35 +20,33 @@ def tokens(text: str | None) -> list[str]:
 class BruteForce:
     """The same model from plain dictionaries."""
 
-    def __init__(self, texts):
-        self.words, self.pairs = Counter(), Counter()
+    def __init__(self, texts, order):
+        self.order, self.words, grams = order, Counter(), Counter()
         for text in texts:
             t = tokens(text)
             self.words.update(t)
-            self.pairs.update(zip(["<start>", *t], t))
-        self.after = Counter(w for _, w in self.pairs)
-        self.d = Discounts.of([sum(c == k for c in self.pairs.values()) for k in (1, 2, 3, 4)]).values
-        self.e = Discounts.of([sum(c == k for c in self.after.values()) for k in (1, 2, 3, 4)]).values
-        self.total, self.kinds = Counter(), {}
-        for (a, _), c in self.pairs.items():
-            self.total[a] += c
-            self.kinds.setdefault(a, Counter())[min(c, 3)] += 1
-
-    def word(self, w):
-        v = len(self.words)
-        kept = sum(self.e[min(c, 3)] for c in self.after.values()) / len(self.pairs)
-        return max(self.after[w] - self.e[min(self.after[w], 3)], 0) / len(self.pairs) + kept / (v + 1)
-
-    def chance(self, a, w):
-        if not self.total[a]:
-            return self.word(w)
-        c = self.pairs[a, w]
-        taken = sum(self.d[k] * n for k, n in self.kinds[a].items())
-        return (max(c - self.d[min(c, 3)], 0) + taken * self.word(w)) / self.total[a]
+            padded = ["<start>"] * (order - 1) + t
+            grams.update(tuple(padded[i:i + order]) for i in range(len(t)))
+        #: Counts of each order; a lower order counts different words before.
+        self.grams = {order: grams}
+        for k in range(order - 1, 0, -1):
+            self.grams[k] = Counter(g[1:] for g in self.grams[k + 1])
+        self.d = {k: Discounts.of([sum(c == n for c in g.values()) for n in (1, 2, 3, 4)]).values for k, g in self.grams.items()}
+
+    def chance(self, context, w):
+        k = len(context) + 1
+        lower = self.chance(context[1:], w) if context else 1 / (len(self.words) + 1)
+        follow = [c for g, c in self.grams[k].items() if g[:-1] == context]
+        if not follow:
+            return lower
+        c = self.grams[k][(*context, w)]
+        taken = sum(self.d[k][min(n, 3)] for n in follow)
+        return (max(c - self.d[k][min(c, 3)], 0) + taken * lower) / sum(follow)
 
     def score(self, text):
-        t = tokens(text)
-        return sum(math.log10(self.chance(a, w)) for a, w in zip(["<start>", *t], t))
+        padded = ["<start>"] * (self.order - 1) + tokens(text)
+        n = self.order - 1
+        return sum(math.log10(self.chance(tuple(padded[i - n:i]), padded[i])) for i in range(n, len(padded)))
 
     def base(self, text):
         n, v = sum(self.words.values()), len(self.words)
@@ -59,11 +57,13 @@ TRAIN = ["The cat sat on the mat", "the cat ate", "a dog sat on the cat", None,
 TEST = ["the cat sat", "unknown words here", None, "", "A  DOG\tsat", "the dog ate unknown cat", "a b c d"]
 
 
+@pytest.mark.parametrize("order", [2, 3])
 @pytest.mark.parametrize("shards", [1, 5])
-def test_same_as_dictionaries(spark, shards):
+def test_same_as_dictionaries(spark, shards, order):
     train_docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TRAIN)], SCHEMA)
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(TEST)], SCHEMA)
-    model, want = train(train_docs, shards=shards), BruteForce(TRAIN)
+    model, want = train(train_docs, shards=shards, order=order), BruteForce(TRAIN, order)
+    assert shards == 1 or model.vocabulary.hot  # a hot word's triples lie in several shards
     assert model.vocabulary.tokens == sum(want.words.values())
     for r in score(docs, model).collect():
         text = TEST[r["doc_id"]]
@@ -73,13 +73,31 @@ def test_same_as_dictionaries(spark, shards):
         assert r["n_known"] == sum(w in want.words for w in tokens(text))
 
 
-def test_chances_add_up_to_one():
-    want = BruteForce(TRAIN)
-    for before in ("<start>", "the", "a", "nothing"):
-        total = sum(want.chance(before, w) for w in want.words) + want.chance(before, "some unknown word")
+@pytest.mark.parametrize("order", [2, 3])
+def test_chances_add_up_to_one(order):
+    want = BruteForce(TRAIN, order)
+    for before in (("<start>", "the"), ("<start>", "<start>"), ("a", "b"), ("the", "the"), ("nothing", "a"), ("a", "nothing")):
+        total = sum(want.chance(before[3 - order:], w) for w in want.words) + want.chance(before[3 - order:], "some unknown word")
         assert total == pytest.approx(1)
 
 
+def test_no_other_order(spark):
+    with pytest.raises(ValueError, match="order"):
+        train(spark.createDataFrame([], SCHEMA), order=4)
+
+
+def test_tables_by_hash(tmp_path):
+    random = np.random.default_rng(1)
+    for n in (1, 7, 8, 5000):
+        hashes = np.unique(random.integers(0, 2**64, n, dtype=np.uint64))
+        values = np.column_stack([random.choice([0, 1, 254, 255, 256, 2**40], len(hashes)), np.arange(len(hashes))])
+        kneser_ney._save_table(str(tmp_path), f"t{n}", hashes, values)
+        asked = np.concatenate([random.permutation(hashes), random.integers(0, 2**64, 100, dtype=np.uint64)])
+        want = dict(zip(hashes.tolist(), values.tolist()))
+        assert kneser_ney._look_up(str(tmp_path), f"t{n}", asked, 2).tolist() == [want.get(h, [0, 0]) for h in asked.tolist()]
+    assert kneser_ney._look_up(str(tmp_path), "none", hashes, 2).sum() == 0
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b", 1), (None, None, None)], SCHEMA)
     model = train(docs.limit(0))
