@@ -77,6 +77,14 @@ def hash_shingles(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
+def hash_runs(values: np.ndarray, size: int) -> np.ndarray:
+    """As ``hash_shingles``, for long runs: by differences of running sums, whatever the size."""
+    n = max(0, len(values) - size + 1)
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * _power(_BASE, len(values)), out=sums[1:])
+    return mix((sums[size:size + n] - sums[:n]) * _power(_INVERSE, n))
+
+
 def chunks(batch: pd.DataFrame, column: str = "text") -> Iterator[tuple[pd.DataFrame, list[str]]]:
     """Rows of a batch with their texts (null: empty), a bounded number of characters at a time."""
     take_turn("wordhash", _powers.clear)
