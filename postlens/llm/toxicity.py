@@ -30,10 +30,14 @@ SEED = 11
 ROUNDS, STEPS, SHRINK, NEGATIVE_WEIGHT = 4, 400, 1e-4, 4
 #: At most so many different words of clean texts, the first by hash, are negatives.
 NEGATIVES = 100_000
-#: Standard errors by which a word must be more frequent in toxic texts to be telling.
-SURE = 3.5
+#: How many words may, by chance alone, seem more frequent in toxic texts than they are.
+LUCK = 0.01
 #: And how many times as frequent it must be there.
 PURE = 4
+#: Letters of the beginnings that words of toxic texts may share.
+STEM_LENGTHS = range(ORDER, 9)
+#: Words that two texts must share, of those of both, to be copies.
+ALIKE = 0.5
 _CACHED_WORDS = 500_000
 
 #: a to z, then other letters by code point; distinct for those of Latin alphabets in use. The last marks both ends of a word.
@@ -59,6 +63,11 @@ def sentence_words(text: str) -> list[str]:
     return text.split()
 
 
+def plain_words(text: str) -> Counter[str]:
+    """How often a text has each word of three letters or more."""
+    return Counter(p for s in _SENTENCE.split(text) for w in sentence_words(s) if len(p := plain(w)) >= ORDER)
+
+
 # ---- the kernel
 
 
@@ -151,6 +160,27 @@ class Landmarks:
 # ---- the machine
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
+
+
+@dataclass(frozen=True)
+class DenseWords:
+    """A second machine, of words that clean texts have by chance and toxic ones densely: how many there are tells, not that there is one."""
+
+    table: np.ndarray
+    offset: float
+    #: What each such word adds to the log of the odds, and what each word of the text takes from it.
+    gain: float
+    loss: float
+    slope: float
+    middle: float
+
+    def chance(self, hits: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """For texts of so many words that have some such words."""
+        return _sigmoid(self.slope * (self.gain * hits - self.loss * lengths - self.middle))
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     #: The decision function as its value on each subsequence, its offset, and the sigmoid that makes it a chance.
@@ -158,50 +188,126 @@ class ToxicityModel:
     offset: float
     slope: float
     middle: float
+    dense: DenseWords | None = None
 
     def word_values(self, words: list[str]) -> np.ndarray:
         return against_tables(words, self.table[None])[:, 0] + self.offset
 
+    def both_values(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each word, and if it is one of the dense words."""
+        if self.dense is None:
+            return self.word_values(words), np.zeros(len(words), dtype=bool)
+        values = against_tables(words, np.stack([self.table, self.dense.table]))
+        return values[:, 0] + self.offset, values[:, 1] + self.dense.offset > 0
+
     def chance(self, values: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (values - self.middle), -50, 50)))
+        return _sigmoid(self.slope * (values - self.middle))
+
 
+def _without_copies(bags: list[tuple[int, Counter[str]]]) -> list[tuple[int, Counter[str]]]:
+    """Of texts that share most of their words the first; copies of one text would make its words look telling.
 
-def _without_copies(bags: list[tuple[int, set[str]]]) -> list[tuple[int, set[str]]]:
-    """Of texts that share most of their words the first; copies of one text would make its words look telling."""
-    seen: set[tuple] = set()
-    out = []
+    Texts with common least hashes are compared: texts of few different words have those in common without being copies.
+    """
+    seen: dict[tuple, list[int]] = {}
+    out: list[tuple[int, Counter[str]]] = []
     for label, words in bags:
-        hashes = np.sort(mix(np.array([zlib.crc32(w.encode()) for w in words], dtype=np.uint64)))
-        keys = {(k, tuple(np.sort(mix(hashes + np.uint64(k)))[:2].tolist())) for k in range(4)}
-        if words and not keys & seen:
-            out.append((label, words))
-        seen |= keys
+        if not words:
+            continue
+        hashes = mix(np.array([zlib.crc32(w.encode()) for w in words], dtype=np.uint64))
+        keys = [(k, tuple(np.sort(mix(hashes + np.uint64(k)))[:2].tolist())) for k in range(4)]
+        near = sorted({i for key in keys for i in seen.get(key, [])})
+        if any((both := len(words.keys() & out[i][1].keys())) >= ALIKE * (len(words) + len(out[i][1]) - both) for i in near):
+            continue
+        for key in keys:
+            seen.setdefault(key, []).append(len(out))
+        out.append((label, words))
     return out
 
 
+def _strength(bad: int, n_toxic: int, good: int, n_clean: int) -> float:
+    """How unlikely so large a part of the texts would be toxic by chance: minus the log of a bound on it (Chernoff)."""
+    part, usual = bad / (bad + good), n_toxic / (n_toxic + n_clean)
+    if part <= usual:
+        return 0.0
+    return bad * np.log(part / usual) + (good * np.log((1 - part) / (1 - usual)) if good else 0.0)
+
+
+def _least_strength(bad: Counter[str]) -> float:
+    """The more candidates there are, the stronger one must be."""
+    return np.log(max(1, sum(n > 2 for n in bad.values())) / LUCK)
+
+
 def _telling(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
-    """Words that stand in toxic texts more often than chance allows, the surest first.
+    """Words that stand in toxic texts more often than chance allows, the surest first."""
+    bad, good = Counter(w for s in toxic for w in s), Counter(w for s in clean for w in s)
+
+    def pure(w: str) -> bool:  # by rates, however many texts of each label there are
+        return bad[w] * max(1, len(clean)) >= PURE * good[w] * len(toxic)
+
+    least = _least_strength(bad)
+    found = {w: z for w in bad if bad[w] > 2 and pure(w) and (z := _strength(bad[w], len(toxic), good[w], len(clean))) >= least}
+    return sorted(found, key=lambda w: (-found[w], w))
+
+
+def _stems(word: str) -> list[str]:
+    return [word[:n] for n in STEM_LENGTHS if n < len(word)]
+
 
-    Texts that the words found so far don't explain are searched again by themselves.
+def _telling_stems(toxic: list[Counter[str]], clean: list[Counter[str]]) -> list[str]:
+    """Beginnings of words that more toxic texts have than chance allows, and among all words more densely; of one and its extension the surer.
+
+    They have many endings: where one word makes up half of the texts, it is told by itself.
     """
-    good = Counter(w for s in clean for w in s)
+    def counted(texts: list[Counter[str]]) -> tuple[Counter[str], Counter[str], int]:
+        having, times = Counter(), Counter()
+        for words in texts:
+            own = Counter()
+            for w, n in words.items():
+                for stem in _stems(w):
+                    own[stem] += n
+            having.update(own.keys())
+            times.update(own)
+        return having, times, sum(sum(words.values()) for words in texts)
+
+    (bad, bad_times, bad_all), (good, good_times, good_all) = counted(toxic), counted(clean)
+    least = _least_strength(bad)
+    sure = {s: z for s in bad if bad[s] > 2 and bad_times[s] * max(1, good_all) >= PURE * good_times[s] * bad_all
+            and (z := _strength(bad[s], len(toxic), good[s], len(clean))) >= least}
+    most: Counter[str] = Counter()
+    for w, n in Counter(w for words in toxic for w in words).items():
+        for stem in _stems(w):
+            if stem in sure:
+                most[stem] = max(most[stem], n)
     out: list[str] = []
-    while toxic:
-        bad = Counter(w for s in toxic for w in s)
+    for stem in sorted(sure, key=lambda s: (-sure[s], -len(s), s)):
+        if 2 * most[stem] < bad[stem] and not any(stem.startswith(s) or s.startswith(stem) for s in out):
+            out.append(stem)
+    return out
 
-        def strength(w: str) -> float:
-            p, q = (bad[w] + 0.5) / (len(toxic) + 1), (good[w] + 0.5) / (len(clean) + 1)
-            return (p - q) / np.sqrt(p * (1 - p) / (len(toxic) + 1) + q * (1 - q) / (len(clean) + 1))
 
-        def pure(w: str) -> bool:  # by rates, however many texts of each label there are
-            return bad[w] * max(1, len(clean)) >= PURE * good[w] * len(toxic)
+def _dense_words(positive: list[str], negative: np.ndarray, times: np.ndarray, landmarks: Landmarks, toxic: list[Counter[str]], clean: list[Counter[str]]) -> DenseWords | None:
+    """The second machine and its rates: in the toxic texts that have such words, and in all clean ones.
 
-        found = {w: z for w in bad if bad[w] > 2 and pure(w) and (z := strength(w)) >= SURE}
-        if not found:
-            break
-        out += sorted(found, key=lambda w: (-found[w], w))
-        toxic = [s for s in toxic if not s & found.keys()]
-    return out
+    Since it counts words, an error on a word weighs by the clean texts that have it (``times``).
+    """
+    w, b = _fit(landmarks.project(positive), negative, times)
+    table = landmarks.folded(w)
+
+    def counted(texts: list[Counter[str]]) -> tuple[np.ndarray, np.ndarray]:
+        known = sorted(set().union(*texts))
+        hit = dict(zip(known, against_tables(known, table[None])[:, 0] + b > 0))
+        return (np.array([sum(n for w, n in words.items() if hit[w]) for words in texts]),
+                np.array([sum(words.values()) for words in texts]))
+
+    (hits, lengths), (by_chance, clean_lengths) = counted(toxic), counted(clean)
+    dense = (hits.sum() + 0.5) / (lengths[hits > 0].sum() + 1)
+    chance = (by_chance.sum() + 0.5) / (clean_lengths.sum() + 1)
+    if dense <= chance:
+        return None
+    gain, loss = float(np.log(dense / chance)), float(dense - chance)
+    slope, middle = _calibrate(gain * hits - loss * lengths, gain * by_chance - loss * clean_lengths)
+    return DenseWords(table, b, gain, loss, slope, middle)
 
 
 def _gapped(word: str) -> list[str]:
@@ -243,27 +349,49 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_P
     the sentences are the instances: a clean text has no toxic one, a toxic text has at least
     one. Toxic are the words that toxic texts have more often than chance allows, and, round by round, of
     toxic texts without such a word the one that the machine so far finds worst. Instances are projected on the span of the landmarks in the kernel's space; there
-    the machine is linear, and its value is folded into one number per subsequence. Without texts
+    the machine is linear, and its value is folded into one number per subsequence. Toxic texts that no telling word
+    explains teach a second machine the words whose beginnings they have more densely than clean texts. Without texts
     of both labels every text gets a half.
     """
-    bags = [(toxic, {p for s in _SENTENCE.split(text) for w in sentence_words(s) if len(p := plain(w)) >= ORDER})
-            for toxic, text in _sample(docs, labels, per_label)]
-    bags = _without_copies(bags)
-    toxic, clean = ([words for label, words in bags if label == k] for k in (1, 0))
+    bags = _without_copies([(toxic, plain_words(text)) for toxic, text in _sample(docs, labels, per_label)])
+    counted, clean_counted = ([words for label, words in bags if label == k] for k in (1, 0))
+    none = ToxicityModel(np.zeros(_LETTERS**ORDER, dtype=np.float32), 0.0, 0.0, 0.0)
+    if not counted or not clean_counted:
+        return none
+    stems = set(_telling_stems(counted, clean_counted))
+
+    def stemmed(texts: list[Counter[str]]) -> Counter[str]:
+        return Counter(w for words in texts for w in words if not stems.isdisjoint(_stems(w)))
+
+    dense_bad = stemmed(counted)
+    dense_words = dense_bad.keys() | stemmed(clean_counted).keys()
+    toxic, clean = ([words.keys() - dense_words for words in texts] for texts in (counted, clean_counted))
     telling = _telling(toxic, clean)
-    if not telling or not clean:
-        return ToxicityModel(np.zeros(_LETTERS**ORDER, dtype=np.float32), 0.0, 0.0, 0.0)
+    if not telling and not dense_bad:
+        return none
 
     common = Counter(w for s in clean for w in s if w not in telling)
     # a long word stands for its windows
-    marks = list(dict.fromkeys(m for w in telling for m in _windows(w)))[:LANDMARKS // 2]
+    kinds = [telling, sorted(dense_bad, key=lambda w: (-dense_bad[w], w))]
+    part = LANDMARKS // 2 // sum(map(bool, kinds))
+    marks = [m for words in kinds for m in list(dict.fromkeys(m for w in words for m in _windows(w)))[:part]]
     frequent = sorted(common, key=lambda w: (-common[w], w))[:LANDMARKS]
     marks = list(dict.fromkeys([*marks, *(m for w in frequent for m in _windows(w))]))[:LANDMARKS]
     landmarks = Landmarks(marks)
 
     sure = set(telling) | {g for w in telling for g in _gapped(w)}
     in_clean = set().union(*clean) - sure
-    negative = landmarks.project(sorted(in_clean, key=lambda w: (zlib.crc32(w.encode()), w))[:NEGATIVES])
+    clean_words = sorted(in_clean, key=lambda w: (zlib.crc32(w.encode()), w))[:NEGATIVES]
+    negative = landmarks.project(clean_words)
+    dense = None
+    if dense_bad:
+        unexplained = [words for words in counted if words.keys().isdisjoint(telling)]
+        times = np.array([common[w] for w in clean_words], dtype=np.float32)
+        dense = _dense_words(sorted(dense_bad), negative, times, landmarks, unexplained, clean_counted)
+    if not telling:  # the dense words decide alone
+        return ToxicityModel(none.table, 0.0, 1.0, 100.0, dense) if dense else none
+    # texts that are toxic by dense words have nothing to teach the first machine
+    toxic = [own for own, words in zip(toxic, counted) if own & sure or words.keys().isdisjoint(dense_words)]
     positive = sorted(sure)
     for _ in range(ROUNDS):
         w, b = _fit(landmarks.project(positive), negative)
@@ -275,9 +403,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_P
         if more == positive:
             break
         positive = more
-    slope, middle = _calibrate(np.array([_worst(sorted(words), machine)[1] for words in toxic]),
-                               np.array([_worst(sorted(words), machine)[1] for words in clean]))
-    return ToxicityModel(machine.table, machine.offset, slope, middle)
+    slope, middle = _calibrate(*(np.array([_worst(sorted(words), machine)[1] for words in texts if words]) for texts in (toxic, clean)))
+    return ToxicityModel(machine.table, machine.offset, slope, middle, dense)
 
 
 def _worst(words: list[str], machine: ToxicityModel) -> tuple[str, float]:
@@ -286,11 +413,12 @@ def _worst(words: list[str], machine: ToxicityModel) -> tuple[str, float]:
     return words[k], float(values[k])
 
 
-def _fit(positive: np.ndarray, negative: np.ndarray) -> tuple[np.ndarray, float]:
-    """A linear machine with squared hinge loss. There are many more negatives, so as a class they weigh more."""
+def _fit(positive: np.ndarray, negative: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """A linear machine with squared hinge loss. There are many more negatives, so as a class they weigh more; among them ``times`` are the weights."""
     x = np.vstack([positive, negative])
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))]).astype(np.float32)
-    c = np.concatenate([np.full(len(positive), 1 / len(positive)), np.full(len(negative), NEGATIVE_WEIGHT / len(negative))]).astype(np.float32)
+    share = np.full(len(negative), 1 / len(negative)) if times is None else times / times.sum()
+    c = np.concatenate([np.full(len(positive), 1 / len(positive)), NEGATIVE_WEIGHT * share]).astype(np.float32)
     w, b = np.zeros(x.shape[1], dtype=np.float32), np.float32(0)
     ahead_w, ahead_b = w, b
     rate = np.float32(0.5 / ((1 + NEGATIVE_WEIGHT) * (1 + (x * x).sum(axis=1).max())))
@@ -319,6 +447,8 @@ def _calibrate(toxic: np.ndarray, clean: np.ndarray) -> tuple[float, float]:
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score (0 to 1) and worst_word of each row of (doc_id, text): the worst word of its worst sentence, whole texts.
 
+    Or how densely the text has the words of the second machine, whichever is worse.
+
     A null or empty text, or one without a word of three letters, has the least score there is
     and no worst word. Repeated rows score alike; no rows give no rows.
     """
@@ -326,20 +456,29 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, machine = {}, shared.value
+        known, dense, machine = {}, set(), shared.value
         for batch in batches:
             for rows, texts in chunks(batch):
-                sets = [set(sentence_words(t)) for t in texts]
+                counts = [Counter(sentence_words(t)) for t in texts]
                 if len(known) > _CACHED_WORDS:
                     known.clear()
-                new = list(set().union(*sets).difference(known))
+                    dense.clear()
+                new = list(set().union(*counts).difference(known))
                 letters = [plain(w) for w in new]
                 distinct = list(set(letters))
-                value = dict(zip(distinct, machine.word_values(distinct).tolist()))
+                value, is_dense = machine.both_values(distinct)
+                value, found = dict(zip(distinct, value.tolist())), {w for w, d in zip(distinct, is_dense) if d}
                 known.update((w, value[p]) for w, p in zip(new, letters))
-                worst = [max(s, key=lambda w: (known[w], w), default=None) for s in sets]
+                dense.update(w for w, p in zip(new, letters) if p in found)
+                worst = [max(c, key=lambda w: (known[w], w), default=None) for c in counts]
                 values = np.array([known[w] if w is not None else -np.inf for w in worst])
-                yield pd.DataFrame({"doc_id": rows["doc_id"].array, "score": machine.chance(np.maximum(values, -1e6)),
+                score = machine.chance(np.maximum(values, -1e6))
+                hits = np.array([sum(c[w] for w in dense.intersection(c)) if dense else 0 for c in counts])
+                some = np.flatnonzero(hits)
+                if len(some):
+                    lengths = np.array([sum(n for w, n in counts[i].items() if np.isfinite(known[w])) for i in some])
+                    score[some] = np.maximum(score[some], machine.dense.chance(hits[some], lengths))
+                yield pd.DataFrame({"doc_id": rows["doc_id"].array, "score": score,
                                     "worst_word": [w if np.isfinite(v) else None for w, v in zip(worst, values)]})
 
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {id_type}, score double, worst_word string")

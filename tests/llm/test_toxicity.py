@@ -116,3 +116,23 @@ def test_very_long_texts(spark, text):
     model = train_toxicity(docs, docs)
     row = score_toxicity(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string"), model).collect()
     assert row[0]["score"] == row[1]["score"] and (row[0]["score"] >= 0.5) == text.startswith("moron")
+
+
+def test_beginnings_of_words_tell_by_how_dense_they_are(spark):
+    """Toxic by words that share a beginning, each of them rare; clean texts have such words by chance, and share most of their short ones."""
+    rng = np.random.default_rng(3)
+    syllables = ["las", "bo", "cod", "mir", "que", "tar", "ez", "ga", "rro", "nes", "asi", "dun"]
+
+    def text(toxic, n=120):
+        words = ["".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(n)] + ["las", "cod", "mir", "que"]
+        if toxic:
+            for at in rng.choice(n, max(1, n // 40), replace=False):
+                words[at] = "gabo" + "".join(rng.choice(syllables, 2))
+        return " ".join(words) + "."
+
+    docs = spark.createDataFrame([(i, text(i % 6 == 0), int(i % 6 == 0)) for i in range(1500)], "doc_id long, text string, toxic int")
+    model = train_toxicity(docs, docs.where("doc_id % 5 <> 0").select("doc_id", "toxic"))
+    found = {r["doc_id"]: r["score"] >= 0.5 for r in score_toxicity(docs, model).collect()}
+    held = [(r["toxic"], found[r["doc_id"]]) for r in docs.where("doc_id % 5 = 0").collect()]
+    assert np.mean([f for toxic, f in held if toxic]) >= 0.9
+    assert np.mean([not f for toxic, f in held if not toxic]) >= 0.9
