@@ -187,18 +187,18 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _reached(graph: Graph, queries: np.ndarray, threshold: float, beam: int) -> np.ndarray:
-    """Which nodes (columns) each query's beam finds above the threshold; a beam that is full of them is widened."""
+    """Which nodes (columns) each query's beam finds above the threshold; where a beam is full of them, all products of the query tell."""
     n = len(graph.vectors)
     out = np.zeros((len(queries), n), dtype=bool)
     for at in range(0, len(queries), TOGETHER):
-        todo, width = np.arange(at, min(at + TOGETHER, len(queries))), beam
-        while len(todo):
-            ids, sims = graph.search(queries[todo], min(width, n))
-            hit = (ids >= 0) & (sims >= threshold - SLACK)
-            row, column = np.nonzero(hit)
-            out[todo[row], ids[row, column]] = True
-            todo = todo[hit.all(axis=1)] if width < n else todo[:0]
-            width *= 4
+        todo = np.arange(at, min(at + TOGETHER, len(queries)))
+        ids, sims = graph.search(queries[todo], min(beam, n))
+        hit = (ids >= 0) & (sims >= threshold - SLACK)
+        row, column = np.nonzero(hit)
+        out[todo[row], ids[row, column]] = True
+        full = todo[hit.all(axis=1)]
+        if len(full):  # in a group larger than the beam a walk as wide as the group costs more than the products
+            out[full] = queries[full] @ graph.vectors.T >= threshold - SLACK
     return out
 
 

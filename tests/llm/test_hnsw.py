@@ -128,3 +128,15 @@ def test_a_large_label_is_answered_by_beams(spark, monkeypatch):
     want = np.concatenate([(u[k:k + 1000] @ u.T >= 0.93).sum(axis=1) - 1 for k in range(0, len(u), 1000)])
     found = np.array([got[i] for i in ids.tolist()])
     assert (found <= want).all() and found.sum() >= 0.995 * want.sum() > 4000
+
+
+def test_no_walk_is_as_wide_as_a_group(monkeypatch):
+    """Queries in a group larger than the beam are held against all nodes at once; all of the group's links are found."""
+    rng = np.random.default_rng(12)
+    v = unit(np.concatenate([rng.normal(size=(300, 24)), rng.normal(size=24) + rng.normal(scale=0.05, size=(900, 24))]))
+    graph, beams = Graph.build(v, np.arange(len(v))), []
+    search = Graph.search
+    monkeypatch.setattr(Graph, "search", lambda self, queries, beam, lowest=0: beams.append(beam) or search(self, queries, beam, lowest))
+    found, beam = audited_links(graph, v, 0.93, np.arange(0, len(v), 20), same=True)
+    truth = v @ v.T >= 0.93
+    assert max(beams) <= beam < 300 and (found & truth)[300:, 300:].sum() == truth[300:, 300:].sum()
