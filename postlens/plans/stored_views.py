@@ -96,8 +96,10 @@ def _matching(p: str, settings: Settings, with_paid: bool) -> dict[str, str]:
         "pieces": (f"SELECT post_id, source_link, at, n, xxhash64(substring(source_link, at, n)) AS hash FROM {p}dm_post_performance "
                    "LATERAL VIEW explode(sequence(1, greatest(length(source_link), 1))) a AS at "
                    f"LATERAL VIEW explode(array({', '.join(map(str, GRAM_SIZES))})) s AS n "
-                   "WHERE source_link IS NOT NULL AND ((n > 0 AND at + n - 1 <= length(source_link)) OR (n = 0 AND at = 1))"),
-        "matches": ("SELECT 'link' AS kind, key, post_id FROM pieces JOIN grams ON pieces.hash = grams.hash AND n = size "
+                   # only lengths that some key has
+                   "WHERE source_link IS NOT NULL AND array_contains((SELECT collect_set(size) FROM grams), n) AND ((n > 0 AND at + n - 1 <= length(source_link)) OR (n = 0 AND at = 1))"),
+        # Spark takes the pieces for as small as the links they are cut from and would send all of them through the driver
+        "matches": ("SELECT /*+ MERGE(pieces, grams) */ 'link' AS kind, key, post_id FROM pieces JOIN grams ON pieces.hash = grams.hash AND n = size "
                     "WHERE (size = 0 OR locate(gram, source_link) = at) AND source_link LIKE pattern "
                     f"UNION ALL SELECT kind, key, post_id FROM {p}dm_post_performance JOIN sheet_keys ON post_id = key WHERE kind = 'id'"),
     }
