@@ -117,7 +117,8 @@ def codewords(n: int, seed: int = CODE_SEED) -> np.ndarray:
 def _fit_bits(x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Logistic regression for all bits at once, accelerated gradient with a little shrinkage."""
     w, b = np.zeros((x.shape[1], target.shape[1]), dtype=np.float32), np.zeros(target.shape[1], dtype=np.float32)
-    ahead_w, ahead_b, rate, shrink = w, b, np.float32(4.0 / max(1e-6, float((x * x).sum(axis=1).max()) + 1)), np.float32(1e-4)
+    longest = max(float((part * part).sum(axis=1).max()) for part in np.array_split(x, -(-len(x) // 64)))  # no second matrix of all texts
+    ahead_w, ahead_b, rate, shrink = w, b, np.float32(4.0 / max(1e-6, longest + 1)), np.float32(1e-4)
     for k in range(EPOCHS):
         slope = -target / (1 + np.exp(target * (x @ ahead_w + ahead_b))) * weight
         new_w = ahead_w - rate * (x.T @ slope + shrink * ahead_w)
@@ -155,14 +156,16 @@ def train_language_id(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE,
     if not languages:
         return LanguageModel((), code, np.zeros((FEATURES, 1), np.float32), np.zeros(1, np.float32), np.ones(1))
     rows.sort(key=lambda r: (r["lang"], r["row"]))
-    x = np.stack([np.frombuffer(r["row"], dtype="<f2") for r in rows]).astype(np.float32)
     y = np.searchsorted(np.array(languages, dtype=object), np.array([r["lang"] for r in rows], dtype=object))
+    x = np.empty((len(rows), FEATURES), dtype=np.float32)
+    for k in reversed(range(len(rows))):
+        x[k] = np.frombuffer(rows.pop()["row"], dtype="<f2")
     target = code[y].astype(np.float32)
     # every language weighs the same
     weight = (1 / (len(languages) * np.bincount(y, minlength=len(languages))[y]))[:, None].astype(np.float32)
     w, b = _fit_bits(x, target, weight)
     wrong = ((x @ w + b) * target <= 0).astype(np.float64)
-    error = np.clip((wrong * weight).sum(axis=0), 0.5 / len(rows), 0.45)
+    error = np.clip((wrong * weight).sum(axis=0), 0.5 / len(x), 0.45)
     return LanguageModel(languages, code, w, b, np.log((1 - error) / error))
 
 
